@@ -1,7 +1,8 @@
 """Toxicity from a small convolutional text classifier, trained in numpy.
 
-Lower-cased words are hashed into an embedding table whose first coordinate starts at each bucket's
-log-odds in the training rows; filters of widths 1, 2 and 3 run over the whole text, each is max-pooled
+Lower-cased words are hashed into an embedding table, each by itself and by its first 4 and 6 bytes, so that
+inflected forms share their stem; a word's vector is the sum of the three. The first coordinate of a bucket
+starts at its log-odds in the training rows. Filters of widths 1, 2 and 3 run over the whole text, each is max-pooled
 over all positions, and a logistic layer follows. Training uses a bounded sample (``max_docs`` rows,
 ``max_bytes`` bytes); a quarter of it is set aside to calibrate the score to the true share of label 1
 (Platt scaling) and one decision threshold per language.
@@ -24,41 +25,46 @@ from covelake.llm.common import binary_column, text_slices
 from covelake.llm.kernels import LOWER, NOT_WORD, Prefix, mix, spans
 from covelake.llm.training import fold, labelled_sample, platt, sigmoid
 
-BUCKETS, DIM, FILTERS, WIDTHS = 1 << 15, 8, 8, (1, 2, 3)
+BUCKETS, DIM, FILTERS, WIDTHS, PARTS = 1 << 16, 8, 8, (1, 2, 3), 3
 PAD = len(WIDTHS) - 1
 #: Training documents that a bucket must occur in to have a vector, and the smoothing of its log-odds.
 MIN_DOCS, SMOOTH = 3, 2.0
 
 
 def word_ids(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(ids, offsets): bucket ids (0 is padding) of all words, each text followed by padding; no text is without an id."""
+    """(ids, offsets): for all words the buckets of their parts (n, 3), each text followed by padding (bucket 0); no text is without a row."""
     low = LOWER[data]
     start, end, owner = spans(low, offsets, NOT_WORD)
-    ids = (mix(Prefix(low).range(start, end)) % np.uint64(BUCKETS - 1)).astype(np.int64) + 1 if len(start) else np.zeros(0, np.int64)
     words = np.bincount(owner, minlength=len(offsets) - 1) if len(owner) else np.zeros(len(offsets) - 1, np.int64)
     size = np.maximum(words, 1) + PAD
     off = np.concatenate([[0], np.cumsum(size)])
-    out = np.zeros(int(off[-1]), np.int64)
-    at = np.arange(len(ids)) - np.repeat(np.cumsum(words) - words, words) + np.repeat(off[:-1], words)
-    out[at] = ids
+    out = np.zeros((int(off[-1]), PARTS), np.int32)
+    if len(start):
+        prefix = Prefix(low)
+        at = np.arange(len(start)) - np.repeat(np.cumsum(words) - words, words) + np.repeat(off[:-1], words)
+        for k, longest in enumerate((1 << 62, 4, 6)):
+            h = mix(prefix.range(start, np.minimum(end, start + longest) if k else end) + np.uint64(k))
+            out[at, k] = (h % np.uint64(BUCKETS - 1)).astype(np.int32) + 1
     return out, off
 
 
-def pooled(emb_tables: list[list[np.ndarray]], ids: np.ndarray, off: np.ndarray) -> np.ndarray:
-    """Max-pooled responses (texts, widths * FILTERS); emb_tables[w][j]: response of each bucket at offset j of width w."""
-    n = len(ids) - PAD
+def pooled(table: np.ndarray, ids: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Max-pooled responses (texts, widths * FILTERS). ``table``: every bucket's response at each offset of each width."""
     keep = np.ones(len(ids), bool)
     for k in range(1, PAD + 1):
         keep[off[1:] - k] = False  # windows start at words, never in the padding
     first = np.flatnonzero(keep)
     starts = np.concatenate([[0], np.cumsum(np.diff(off) - PAD)])[:-1]
-    out = []
-    for tables in emb_tables:
-        conv = tables[0][ids[first]]
-        for j in range(1, len(tables)):
-            conv += tables[j][ids[first + j]]
+    each = table[ids[:, 0]]
+    for k in range(1, PARTS):
+        each += table[ids[:, k]]
+    out, col = [], 0
+    for w in WIDTHS:
+        conv = each[first, col : col + FILTERS]
+        for j in range(1, w):
+            conv = conv + each[first + j, col + j * FILTERS : col + (j + 1) * FILTERS]
         out.append(np.maximum.reduceat(conv, starts, axis=0))
-    assert n >= 0
+        col += w * FILTERS
     return np.concatenate(out, 1)
 
 
@@ -101,7 +107,7 @@ def train(sample, share: float, epochs: int = 6, seed: int = 3) -> dict | None:
             for i in part:
                 ids = docs[i]
                 n = len(ids) - PAD
-                e = params["emb"][ids]
+                e = params["emb"][ids].sum(1)
                 hidden, where = [], []
                 for w in WIDTHS:
                     conv = np.lib.stride_tricks.sliding_window_view(e[: n + w - 1].ravel(), w * DIM)[::DIM] @ params[f"k{w}"]
@@ -118,7 +124,7 @@ def train(sample, share: float, epochs: int = 6, seed: int = 3) -> dict | None:
                     for f in np.flatnonzero(dh[b * FILTERS : (b + 1) * FILTERS]):
                         at, s = where[b][f], dh[b * FILTERS + f]
                         g[f"k{w}"][:, f] += s * e[at : at + w].ravel()
-                        np.add.at(g["emb"], ids[at : at + w], s * params[f"k{w}"][:, f].reshape(w, DIM))
+                        np.add.at(g["emb"], ids[at : at + w], (s * params[f"k{w}"][:, f].reshape(w, 1, DIM)))
             t += 1
             for k, v in params.items():
                 m, s = adam[k]
@@ -127,7 +133,7 @@ def train(sample, share: float, epochs: int = 6, seed: int = 3) -> dict | None:
                 s += 0.01 * (grad * grad - s)
                 v -= 0.01 * (m / (1 - 0.9**t)) / (np.sqrt(s / (1 - 0.99**t)) + 1e-8)
             params["emb"][~known] = 0
-    model = {"tables": [[(params["emb"] @ params[f"k{w}"][j * DIM : (j + 1) * DIM]).astype(np.float32) for j in range(w)] for w in WIDTHS], "out": params["out"], "bias": float(params["bias"][0])}
+    model = {"table": np.concatenate([params["emb"] @ params[f"k{w}"][j * DIM : (j + 1) * DIM] for w in WIDTHS for j in range(w)], 1).astype(np.float32), "out": params["out"], "bias": float(params["bias"][0])}
     z = np.array([float(_logit(model, docs[i], np.array([0, len(docs[i])]))[0]) for i in np.flatnonzero(held)])
     yh = y[held]
     a, b = platt(z, yh)
@@ -150,7 +156,7 @@ def _threshold(p, y) -> float:
 
 
 def _logit(model, ids, off):
-    return np.maximum(pooled(model["tables"], ids, off), 0) @ model["out"] + model["bias"]
+    return np.maximum(pooled(model["table"], ids, off), 0) @ model["out"] + model["bias"]
 
 
 def score_texts(model: dict | None, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
