@@ -40,7 +40,7 @@ def partitions_for(df: DataFrame, bytes_each: int = BYTES_PER_PARTITION) -> int:
     """Shuffle partitions for the rows of ``df``: the session's count, or more where the input is larger."""
     spark = df.sparkSession
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     if size > 1 << 60:  # no estimate
         return least
     return max(least, math.ceil(size / bytes_each))
