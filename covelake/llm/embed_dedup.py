@@ -199,7 +199,7 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9, sigmas: float = 3.5, s
 
 
 ORACLE = """
-WITH RECURSIVE v AS (SELECT vec_id, list_transform(embedding, x -> x::DOUBLE) AS e FROM embeddings),
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
 link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.9),
 reach(vec_id, other) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.vec_id, l.b FROM reach r JOIN link l ON l.a = r.other)
 SELECT v.vec_id, (SELECT count(*) FROM link l WHERE l.a = v.vec_id) AS n_links, min(r.other) AS component_id, v.vec_id = min(r.other) AS kept
