@@ -19,7 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from covelake.llm.common import binary_column, components, materialise
+from covelake.llm.common import binary_column, components, materialise, text_slices
+from covelake.llm.kernels import BLANK, LOWER, Prefix, mix, spans
 
 PART = 1 << 16
 
@@ -82,8 +83,128 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", te
     return fps.join(table, "fp").select("doc_id", "fp", "component_id")
 
 
-def simhash_dedup(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """Keep of each group the document with the smallest doc_id (all rows of that id); columns unchanged."""
-    groups = simhash_groups(docs, shingle)
-    keep = materialise(groups.where("doc_id = component_id").select("doc_id").distinct(), "kept")
+# --- similarity of 0.8 and more ------------------------------------------------------------------------------
+# Documents that share four fifths of their five-word shingles differ in some 25 of 240 bits of a fingerprint over
+# word pairs. It is cut into SEGMENTS of BITS bits; a document asks for its own value and the Hamming ball of radius 1
+# around it in each segment (at similarity 0.8 one of the segments meets with probability 0.97, nearer copies more
+# surely), and what is met is verified by the complete distance and by the estimated similarity of shingle sets.
+
+SEGMENTS, BITS, BINS = 10, 24, 256
+#: Buckets up to this size compare all pairs; larger ones compare every member with REPS representatives of the bucket.
+PAIRS, REPS = 32, 4
+#: Complete distance beyond which two documents can't be similar (expected 24 at similarity 0.8, 120 if unrelated).
+FAR = 60
+
+
+def _grams(tok: np.ndarray, off: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, owners) of all k-word shingles; a text of 1 to k - 1 words is one shingle."""
+    size = np.diff(off)
+    owner = np.repeat(np.arange(len(size)), size)
+    at = np.arange(len(tok)) - off[owner]
+    n = np.minimum(k, size)[owner]
+    start = np.flatnonzero(at + n <= size[owner])
+    h = np.zeros(len(start), np.uint64)
+    for j in range(k):
+        on = j < n[start]
+        h = np.where(on, h * np.uint64(0x9E3779B97F4A7C15) + tok[np.minimum(start + j, len(tok) - 1)], h)
+    return mix(h), owner[start]
+
+
+def features(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(fingerprints as (n, 10) ints of 24 bits, sketches (n, BINS) uint8 with 0 for empty bins) of concatenated texts."""
+    n = len(off) - 1
+    low = LOWER[data]
+    start, end, owner = spans(low, off, BLANK)
+    tok = mix(Prefix(low).range(start, end)) if len(start) else np.zeros(0, np.uint64)
+    toff = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=n) if len(owner) else np.zeros(n, np.int64))]).astype(np.int64)
+    values, sketch = np.zeros((n, SEGMENTS), np.int64), np.zeros((n, BINS), np.uint8)
+    if not len(tok):
+        return values, sketch
+    h, own = _grams(tok, toff, 2)
+    texts, first = np.unique(own, return_index=True)
+    count = np.diff(np.append(first, len(own)))
+    for c in range(0, 4):
+        bits = np.unpackbits(mix(h + np.uint64(c)).astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
+        ones = np.concatenate([np.add.reduceat(bits[:, i : i + 16], first, axis=0, dtype=np.int32) for i in range(0, 64, 16)], 1)
+        major = ones * 2 > count[:, None]
+        for i in range(64):
+            bit = c * 64 + i
+            if bit < SEGMENTS * BITS:
+                values[texts, bit // BITS] |= major[:, i].astype(np.int64) << (bit % BITS)
+    h, own = _grams(tok, toff, 5)
+    place = own * BINS + (h >> np.uint64(56)).astype(np.int64)
+    order = np.lexsort((h & np.uint64((1 << 56) - 1), place))
+    head = np.ones(len(order), bool)
+    head[1:] = place[order][1:] != place[order][:-1]
+    best = order[head]
+    sketch.reshape(-1)[place[best]] = (mix(h[best]) % np.uint64(255)).astype(np.uint8) + 1
+    return values, sketch
+
+
+def similarity(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Estimated Jaccard similarity of shingle sets from sketches."""
+    used = ((a > 0) | (b > 0)).sum(1)
+    return np.where(used > 0, ((a == b) & (a > 0)).sum(1) / np.maximum(used, 1), 1.0)
+
+
+def _sketched(docs: DataFrame) -> DataFrame:
+    def run(batches):
+        import xxhash
+
+        for batch in batches:
+            data, off = binary_column(batch, "text")
+            values, sketches, keys = [], [], []
+            for i, j in text_slices(off):
+                v, s = features(data[off[i] : off[j]], off[i : j + 1] - off[i])
+                values.append(v)
+                sketches.append(s)
+            for a, b in zip(off[:-1], off[1:], strict=True):
+                keys.append(xxhash.xxh3_128_digest(b" ".join(data[a:b].tobytes().lower().split())))
+            v = np.concatenate(values) if values else np.zeros((0, SEGMENTS), np.int64)
+            s = np.concatenate(sketches) if sketches else np.zeros((0, BINS), np.uint8)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(v.astype(np.int32).tolist(), pa.list_(pa.int32())), pa.array([x.tobytes() for x in s], pa.binary())], ["doc_id", "same", "values", "sketch"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, same binary, values array<int>, sketch binary")
+
+
+def near_links(classes: DataFrame, least: float) -> DataFrame:
+    """Links (a, b) among ``classes(rep, values, sketch)`` of distinct texts."""
+    key = lambda i, x: F.lit(i).cast("long") * (1 << BITS) + x.cast("long")
+    masks = F.array(F.lit(0), *[F.lit(1 << i) for i in range(BITS)])
+    value = lambda i: F.element_at("values", i + 1)
+    ball = lambda i: F.transform(masks, lambda m: key(i, value(i).bitwiseXOR(m)))
+    table = classes.select("rep", F.explode(F.array(*[key(i, value(i)) for i in range(SEGMENTS)])).alias("key"))
+    ask = classes.select(F.col("rep").alias("a"), F.explode(F.concat(*[ball(i) for i in range(SEGMENTS)])).alias("key"))
+    salted = lambda k: F.min(F.struct(F.xxhash64("rep", F.lit(k)), "rep"))["rep"]
+    buckets = table.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.array_distinct(F.array(F.min("rep"), *[salted(k) for k in range(1, REPS)])).alias("some"))
+    buckets = materialise(buckets, "buckets")
+    few = table.join(buckets.where(F.col("n") <= PAIRS).select("key"), "key").withColumnRenamed("rep", "b")
+    many = buckets.where(F.col("n") > PAIRS).select("key", F.explode("some").alias("b"))
+    found = ask.join(few.unionByName(many), "key").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    side = lambda x: classes.select(F.col("rep").alias(x), F.col("values").alias(f"v{x}"), F.col("sketch").alias(f"s{x}"))
+    distance = F.aggregate(F.zip_with("va", "vb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, x: acc + x)
+    near = found.join(side("a"), "a").join(side("b"), "b").where(distance <= FAR)
+
+    def verify(batches):
+        for batch in batches:
+            if not len(batch):
+                continue
+            a, b = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, BINS) for k in (2, 3))
+            yield pa.RecordBatch.from_arrays([c.filter(pa.array(similarity(a, b) >= least)) for c in batch.columns[:2]], ["a", "b"])
+
+    return near.select("a", "b", "sa", "sb").mapInArrow(verify, "a long, b long")
+
+
+def near_groups(docs: DataFrame, least: float = 0.8) -> DataFrame:
+    """(doc_id, component_id) by links of similarity ``least`` or more between sets of five-word shingles."""
+    rows = materialise(_sketched(docs), "sketched")
+    classes = materialise(rows.groupBy("same").agg(F.min("doc_id").alias("rep"), F.first("values").alias("values"), F.first("sketch").alias("sketch")), "classes")
+    comp = components(near_links(classes, least))
+    table = materialise(classes.select("same", "rep").join(comp, F.col("rep") == comp["node"], "left").select("same", F.coalesce("component", "rep").alias("component_id")), "groups")
+    return rows.select("doc_id", "same").join(table, "same").select("doc_id", "component_id")
+
+
+def near_dedup(docs: DataFrame, least: float = 0.8) -> DataFrame:
+    """Keep of each group of near copies the document with the smallest doc_id (all rows of that id); columns unchanged."""
+    keep = materialise(near_groups(docs, least).where("doc_id = component_id").select("doc_id").distinct(), "kept")
     return docs.join(keep, "doc_id", "left_semi").select(docs.columns)
