@@ -28,6 +28,13 @@ def work_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Texts are long: where the session keeps Spark's default of 10,000 rows an Arrow batch, take 1,000."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, "1000")
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage is cut, lost executors lose nothing."""
     spark = df.sparkSession

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from covelake.llm.common import binary_column, materialise, text_slices
+from covelake.llm.common import binary_column, materialise, small_batches, text_slices
 from covelake.llm.kernels import LOWER, NOT_WORD, Prefix, mix, spans
 
 SCHEMA = "doc_id long, item_id long, item_words long, covered_words long, n_tiles long, coverage double"
@@ -120,6 +120,7 @@ class Index:
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8, min_match: int = 5, block_bytes: int = 16 << 20) -> DataFrame:
     """One row for every document and benchmark item of which the document holds ``threshold`` or more."""
+    small_batches(docs.sparkSession)
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("text")).where("item_id is not null")
     size = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-size * 2 // block_bytes))

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from covelake.llm.common import materialise
+from covelake.llm.common import materialise, small_batches
 
 #: Tokens of a repeated run.
 RUN = 8
@@ -210,6 +210,7 @@ def _finish(batches):
 
 def main_texts(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every row of ``pages(page_id, url, html)``."""
+    small_batches(pages.sparkSession)
     base = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     parsed = materialise(base.mapInArrow(_parse, PARSED), "parsed")
     asks = parsed.where("main is null").select("rid", F.posexplode("prints").alias("at", "print"))

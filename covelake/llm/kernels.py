@@ -42,7 +42,7 @@ def powers(seed: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     have = _powers.get(seed)
     if have is None or len(have[0]) < n:
         _, base, inv = _base(seed)
-        size = max(1 << 20, 1 << (n - 1).bit_length())
+        size = max(1 << 16, 1 << (n - 1).bit_length())
         out = []
         for b in (base, inv):
             p = np.empty(size, U64)

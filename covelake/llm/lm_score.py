@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from covelake.llm.common import binary_column, materialise
+from covelake.llm.common import binary_column, materialise, small_batches
 from covelake.llm.kernels import Prefix, mix
 from covelake.llm.training import fold
 
@@ -223,6 +223,7 @@ def lm_scores(docs: DataFrame, modulus: int = 5, held: int = 1, vocabulary_path:
     The training rows' ``lang`` (if there is one) splits the counts into at most ``GROUPS`` groups; a text's
     probability is the mixture over the groups, so its own lang is never looked at.
     """
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     path = vocabulary_path or default_path()
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("")) if "lang" in docs.columns else F.lit("")

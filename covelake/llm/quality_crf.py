@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from covelake.llm.common import binary_column, text_slices
+from covelake.llm.common import binary_column, small_batches, text_slices
 from covelake.llm.kernels import BLANK, Prefix, spans
 from covelake.llm.training import fold, labelled_sample, platt, sigmoid
 
@@ -139,8 +139,10 @@ def _doc_logit(p, weight, lines):
 
 
 def features_of(texts: list[bytes]):
-    data = np.frombuffer(b"".join(texts), np.uint8)
-    return line_features(data, np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64))
+    """line_features of a list, in slices that bound memory."""
+    off = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+    parts = [line_features(np.frombuffer(b"".join(texts[i:j]), np.uint8), off[i : j + 1] - off[i]) for i, j in text_slices(off)]
+    return tuple(np.concatenate(c) for c in zip(*parts, strict=True))
 
 
 def train(sample: list[tuple[bytes, int, str | None]], rounds: int = 250, decay: float = 1e-4) -> dict | None:
@@ -187,8 +189,9 @@ def score_texts(model: dict | None, data: np.ndarray, offsets: np.ndarray) -> np
     return np.concatenate(out) if out else np.zeros(0)
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, max_docs: int = 3000, max_bytes: int = 24 << 20, modulus: int = 3, held: int = 1, keep_columns: bool = False) -> DataFrame:
+def quality_scores(docs: DataFrame, labels: DataFrame, max_docs: int = 3000, max_bytes: int = 12 << 20, modulus: int = 3, held: int = 1, keep_columns: bool = False) -> DataFrame:
     """doc_id, held_out, score, predicted (or, with ``keep_columns``, all columns of ``docs`` and the last three)."""
+    small_batches(docs.sparkSession)
     sample = labelled_sample(docs, labels, "quality", fold("doc_id", modulus) != held, max_docs, max_bytes)
     model = train(sample)
     cols = docs.columns if keep_columns else ["doc_id", "text"]

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from covelake.llm.common import binary_column, components, materialise, text_slices
+from covelake.llm.common import binary_column, components, materialise, small_batches, text_slices
 from covelake.llm.kernels import BLANK, LOWER, Prefix, mix, spans
 
 PART = 1 << 16
@@ -56,6 +56,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text
             fp = np.array([fingerprint(data[a:b].tobytes(), shingle) for a, b in zip(off[:-1], off[1:], strict=True)], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
 
+    small_batches(docs.sparkSession)
     return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(run, "doc_id long, fp long")
 
 
@@ -164,6 +165,7 @@ def _sketched(docs: DataFrame) -> DataFrame:
             s = np.concatenate(sketches) if sketches else np.zeros((0, BINS), np.uint8)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(v.astype(np.int32).tolist(), pa.list_(pa.int32())), pa.array([x.tobytes() for x in s], pa.binary())], ["doc_id", "same", "values", "sketch"])
 
+    small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, same binary, values array<int>, sketch binary")
 
 

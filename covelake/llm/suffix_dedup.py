@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from covelake.llm.common import binary_column, bucket_keys, materialise, partitions_for, text_slices
+from covelake.llm.common import binary_column, bucket_keys, materialise, partitions_for, small_batches, text_slices
 from covelake.llm.kernels import Prefix, mix, sliding_min
 
 U64 = np.uint64
@@ -408,6 +408,7 @@ def suffix_dedup(docs: DataFrame, min_len: int = 100, with_text: bool = False, i
     """One row a document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and kept_text: the rest, without broken characters)."""
     if min_len <= ANCHOR + 1:
         raise ValueError(f"min_len must exceed {ANCHOR + 1}")
+    small_batches(docs.sparkSession)
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     twice = base.groupBy("doc_id").count().where("count > 1 or doc_id is null")
     if twice.isEmpty():

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from covelake.llm.common import binary_column, text_slices
+from covelake.llm.common import binary_column, small_batches, text_slices
 from covelake.llm.kernels import LOWER, NOT_WORD, Prefix, mix, spans
 from covelake.llm.training import fold, labelled_sample, platt, sigmoid
 
@@ -69,9 +69,12 @@ def pooled(table: np.ndarray, ids: np.ndarray, off: np.ndarray) -> np.ndarray:
 
 
 def _docs(sample):
-    data = np.frombuffer(b"".join(t for t, *_ in sample), np.uint8)
-    ids, off = word_ids(data, np.concatenate([[0], np.cumsum([len(t) for t, *_ in sample])]).astype(np.int64))
-    return [ids[a:b] for a, b in zip(off[:-1], off[1:], strict=True)]
+    at = np.concatenate([[0], np.cumsum([len(t) for t, *_ in sample])]).astype(np.int64)
+    out = []
+    for i, j in text_slices(at):
+        ids, off = word_ids(np.frombuffer(b"".join(t for t, *_ in sample[i:j]), np.uint8), at[i : j + 1] - at[i])
+        out += [ids[a:b] for a, b in zip(off[:-1], off[1:], strict=True)]
+    return out
 
 
 def train(sample, share: float, epochs: int = 6, seed: int = 3) -> dict | None:
@@ -166,8 +169,9 @@ def score_texts(model: dict | None, data: np.ndarray, offsets: np.ndarray) -> np
     return np.concatenate(out) if out else np.zeros(0)
 
 
-def toxicity_scores(docs: DataFrame, labels: DataFrame, max_docs: int = 2400, max_bytes: int = 24 << 20, modulus: int = 5, held: int = 0) -> DataFrame:
+def toxicity_scores(docs: DataFrame, labels: DataFrame, max_docs: int = 2400, max_bytes: int = 12 << 20, modulus: int = 5, held: int = 0) -> DataFrame:
     """doc_id, held_out, score, predicted, threshold, flagged of every row of ``docs``. No shuffle of texts."""
+    small_batches(docs.sparkSession)
     rows = fold("doc_id", modulus) != held
     sample = labelled_sample(docs, labels, "toxic", rows, max_docs, max_bytes)
     share = labels.where(rows & F.col("toxic").isin(0, 1)).agg(F.avg("toxic")).first()[0] or 0.0
