@@ -1 +1 @@
-
+"""Landing files, layer tables and event files."""
