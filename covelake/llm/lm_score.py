@@ -21,6 +21,7 @@ stand; extra columns are ignored.
 from __future__ import annotations
 
 import math
+import uuid
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -34,7 +35,7 @@ from covelake.llm.kernels import Prefix, mix
 from covelake.llm.training import fold
 
 LOG10 = math.log(10)
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 #: Groups of training rows (languages); rarer languages share the first.
 GROUPS = 9
 MARK = "▁"
@@ -142,12 +143,18 @@ class Lattice:
         alpha, *_, first, chars, _, _ = self._forward(words)
         return alpha[first + chars]
 
-    def learn(self, words: list[bytes]) -> None:
-        if len(self.cache) > CACHE_WORDS:
-            self.cache.clear()
-        for i in range(0, len(words), 20_000):
-            part = words[i : i + 20_000]
-            self.cache.update(zip(part, self.log_probs(part).tolist(), strict=True))
+    def lookup(self, words: set[bytes]) -> dict[bytes, float]:
+        """Log probabilities of all the words; those not met before are computed together."""
+        got = {w: p for w in words if (p := self.cache.get(w)) is not None}
+        new = sorted(words - got.keys())
+        for i in range(0, len(new), 20_000):
+            part = new[i : i + 20_000]
+            found = dict(zip(part, self.log_probs(part).tolist(), strict=True))
+            got |= found
+            if len(self.cache) > CACHE_WORDS:
+                self.cache.clear()
+            self.cache.update(found)
+        return got
 
     def expect(self, words: list[bytes], weight: np.ndarray) -> np.ndarray:
         """Expected piece counts of the words, each ``weight`` times."""
@@ -191,7 +198,7 @@ def word_counts(docs: DataFrame, flush: int = 200_000) -> DataFrame:
     return docs.select("text", "group").mapInArrow(run, "word binary, group int, n long").groupBy("word", "group").agg(F.sum("n").alias("n"))
 
 
-def fit(counts: DataFrame, ends: int, path: str, rounds: int = 2, prior: float = 50.0) -> np.ndarray:
+def fit(counts: DataFrame, ends: int, path: str, rounds: int = 1, prior: float = 50.0) -> np.ndarray:
     """Log weights of the pieces after ``rounds`` of expectation maximisation over all words of ``counts``."""
     pieces, byte_ids, logp = vocabulary(path)
     first = np.exp(logp)
@@ -217,7 +224,19 @@ def fit(counts: DataFrame, ends: int, path: str, rounds: int = 2, prior: float =
     return logp
 
 
-def lm_scores(docs: DataFrame, modulus: int = 5, held: int = 1, vocabulary_path: str | None = None, top_words: int = 150_000, discount: float = 0.6) -> DataFrame:
+_LOADED: dict = {}
+
+
+def _loaded(model_id: str, shared, path: str):
+    """The worker's copy of the model: kept from task to task with the words it has met."""
+    if model_id not in _LOADED:
+        _LOADED.clear()
+        words, table, logp = shared.value
+        _LOADED[model_id] = ({w: i for i, w in enumerate(words.split(b" ") if words else [])}, table, Lattice(*vocabulary(path)[:2], logp))
+    return _LOADED[model_id]
+
+
+def lm_scores(docs: DataFrame, modulus: int = 5, held: int = 1, vocabulary_path: str | None = None, top_words: int = 100_000, discount: float = 0.6) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row of ``docs``.
 
     The training rows' ``lang`` (if there is one) splits the counts into at most ``GROUPS`` groups; a text's
@@ -242,7 +261,7 @@ def lm_scores(docs: DataFrame, modulus: int = 5, held: int = 1, vocabulary_path:
     total, distinct = int(words_by.sum()) + ends, kinds + (ends > 0)
     log_z = math.log10(total + 0.5 * (distinct + 1))
     logp = fit(counts, ends, path)
-    common = [(bytes(r.word), r.n, tuple(r[f"n{g}"] for g in range(GROUPS))) for r in counts.orderBy(F.desc("n"), "word").limit(top_words).collect()]
+    best = counts.orderBy(F.desc("n"), "word").limit(top_words).toArrow()  # a fixed number of words
     # In a group a word has its discounted share of the tokens, and the words share what was discounted by their lattice probability.
     tokens_by = words_by + ends_by
     live = np.flatnonzero(ends_by > 0).tolist() or [0]
@@ -251,29 +270,28 @@ def lm_scores(docs: DataFrame, modulus: int = 5, held: int = 1, vocabulary_path:
     back = np.where((tokens_by > 0) & (kinds_by == 0), 1e-9, back)
     end_group = np.where(tokens_by > 0, ends_by / n_by, math.exp(logp[-1]))
     share = np.where(ends_by > 0, ends_by, 0.0) / ends if ends else np.eye(GROUPS)[0]
-    shared = spark.sparkContext.broadcast((common, logp))
     end_base = math.log10(ends + 0.5) - log_z
-    numbers = (live, n_by, back, np.log10(np.maximum(end_group, 1e-300)), np.log10(np.maximum(share, 1e-300)))
+    end_log = np.log10(np.maximum(end_group, 1e-300))
+    # Base score, then a score in each live group, of the common words; the last row stands for all others.
+    common = best.column("word").to_pylist()
+    table = np.zeros((len(common) + 1, 1 + len(live)))
+    if common:
+        lattice = Lattice(*vocabulary(path)[:2], logp)
+        lat = np.exp(np.concatenate([lattice.log_probs(common[i : i + 20_000]) for i in range(0, len(common), 20_000)]))
+        table[:-1, 0] = np.log10(best.column("n").to_numpy() + 0.5) - log_z
+        for k, g in enumerate(live):
+            table[:-1, 1 + k] = np.log10(np.maximum(best.column(f"n{g}").to_numpy() - discount, 0) / n_by[g] + back[g] * lat + 1e-300)
+    shared = spark.sparkContext.broadcast((b" ".join(common), table, logp))  # words hold no blanks
+    model_id = uuid.uuid4().hex
 
     def run(batches):
-        known, weights = shared.value
-        live, n_by, back, end_log, _ = numbers
-        lattice = Lattice(*vocabulary(path)[:2], weights)
-        index = {w: i for i, (w, _, _) in enumerate(known)}
-        table = np.zeros((len(known) + 1, 1 + len(live)))  # base score, then a score in each live group; the last row is for all other words
-        if known:
-            table[:-1, 0] = np.log10(np.array([n for _, n, _ in known]) + 0.5) - log_z
-            lat = np.concatenate([lattice.log_probs([w for w, _, _ in known[i : i + 20_000]]) for i in range(0, len(known), 20_000)])
-            own = np.array([g for _, _, g in known], np.float64)
-            for k, g in enumerate(live):
-                table[:-1, 1 + k] = np.log10(np.maximum(own[:, g] - discount, 0) / n_by[g] + back[g] * np.exp(lat) + 1e-300)
-        other = len(known)
+        index, table, lattice = _loaded(model_id, shared, path)
+        other = len(index)
         get = index.get
         rid = TaskContext.get().partitionId() << 36
         for batch in batches:
             docs_seen = [Counter(words) for words in _words_of(batch)]
-            new = {w for seen in docs_seen for w in seen if w not in index and w not in lattice.cache}
-            lattice.learn(sorted(new))
+            lat = lattice.lookup({w for seen in docs_seen for w in seen if w not in index})
             main: list[list] = [[], [], [], []]
             rare: list[list] = [[], [], [], []]
             for seen in docs_seen:
@@ -285,13 +303,10 @@ def lm_scores(docs: DataFrame, modulus: int = 5, held: int = 1, vocabulary_path:
                 times = n.astype(np.int64)
                 for i in miss:
                     w = keys[i]
-                    lp = lattice.cache.get(w)
-                    if lp is None:  # the cache started anew within this batch
-                        lp = float(lattice.log_probs([w])[0])
                     rare[0].append(rid)
                     rare[1].append(w)
                     rare[2].append(int(times[i]))
-                    rare[3].append(lp / LOG10)
+                    rare[3].append(lat[w] / LOG10)
                 main[0].append(rid)
                 main[1].append(int(times.sum()) + 1)
                 main[2].append(int(times.sum() - times[miss].sum()) + int(ends > 0))
