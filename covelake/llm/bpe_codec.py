@@ -25,7 +25,7 @@ from covelake.llm.common import small_batches
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 #: Words kept in a worker's cache; beyond this it starts anew.
-CACHE_WORDS = 150_000
+CACHE_WORDS = 500_000
 #: The public pattern of this vocabulary family, with its blanks spelt out (fixed value).
 _S = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_S}\p{{L}}\p{{N}}]+|[{_S}]+(?![^{_S}])|[{_S}]+"
