@@ -91,10 +91,16 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", te
 # surely), and what is met is verified by the complete distance and by the estimated similarity of shingle sets.
 
 SEGMENTS, BITS, BINS = 10, 24, 256
-#: Buckets up to this size compare all pairs; larger ones compare every member with REPS representatives of the bucket.
-PAIRS, REPS = 32, 4
+#: Buckets up to PAIRS members compare all pairs at once. Larger ones go in rounds: up to LEADERS[i] members of a bucket
+#: meet everyone, then groups are formed, and only members of different groups go on; the last round takes all that is
+#: left. A pair that no round compares is in one group already, so groups are those of all pairs.
+PAIRS, LEADERS = 32, (4, 64, None)
+#: Askers of a large bucket that one task compares with its members.
+SHARE = 256
 #: Complete distance beyond which two documents can't be similar (expected 24 at similarity 0.8, 120 if unrelated).
 FAR = 60
+#: Width around the asked similarity in which sketches (error 0.025) don't decide but whole shingle sets do.
+MARGIN = 0.08
 
 
 def _grams(tok: np.ndarray, off: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -169,20 +175,26 @@ def _sketched(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, same binary, values array<int>, sketch binary")
 
 
-def near_links(classes: DataFrame, least: float) -> DataFrame:
-    """Links (a, b) among ``classes(rep, values, sketch)`` of distinct texts."""
-    key = lambda i, x: F.lit(i).cast("long") * (1 << BITS) + x.cast("long")
-    masks = F.array(F.lit(0), *[F.lit(1 << i) for i in range(BITS)])
-    value = lambda i: F.element_at("values", i + 1)
-    ball = lambda i: F.transform(masks, lambda m: key(i, value(i).bitwiseXOR(m)))
-    table = classes.select("rep", F.explode(F.array(*[key(i, value(i)) for i in range(SEGMENTS)])).alias("key"))
-    ask = classes.select(F.col("rep").alias("a"), F.explode(F.concat(*[ball(i) for i in range(SEGMENTS)])).alias("key"))
-    salted = lambda k: F.min(F.struct(F.xxhash64("rep", F.lit(k)), "rep"))["rep"]
-    buckets = table.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.array_distinct(F.array(F.min("rep"), *[salted(k) for k in range(1, REPS)])).alias("some"))
-    buckets = materialise(buckets, "buckets")
-    few = table.join(buckets.where(F.col("n") <= PAIRS).select("key"), "key").withColumnRenamed("rep", "b")
-    many = buckets.where(F.col("n") > PAIRS).select("key", F.explode("some").alias("b"))
-    found = ask.join(few.unionByName(many), "key").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def _shingle_sets(rows: DataFrame) -> DataFrame:
+    """(doc_id, grams): the sorted 64-bit hashes of the distinct five-word shingles, of ``rows(doc_id, text)``."""
+
+    def run(batches):
+        for batch in batches:
+            data, off = binary_column(batch, "text")
+            out = []
+            for a, b in zip(off[:-1], off[1:], strict=True):
+                low = LOWER[data[a:b]]
+                toff = np.array([0, b - a], np.int64)
+                start, end, _ = spans(low, toff, BLANK)
+                tok = mix(Prefix(low).range(start, end)) if len(start) else np.zeros(0, np.uint64)
+                out.append(np.unique(_grams(tok, np.array([0, len(tok)], np.int64), 5)[0]).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["doc_id", "grams"])
+
+    return rows.mapInArrow(run, "doc_id long, grams binary")
+
+
+def _scored(found: DataFrame, classes: DataFrame, least: float) -> DataFrame:
+    """(a, b, sure) of the pairs that the complete distance and the sketches leave."""
     side = lambda x: classes.select(F.col("rep").alias(x), F.col("values").alias(f"v{x}"), F.col("sketch").alias(f"s{x}"))
     distance = F.aggregate(F.zip_with("va", "vb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, x: acc + x)
     near = found.join(side("a"), "a").join(side("b"), "b").where(distance <= FAR)
@@ -192,21 +204,88 @@ def near_links(classes: DataFrame, least: float) -> DataFrame:
             if not len(batch):
                 continue
             a, b = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, BINS) for k in (2, 3))
-            yield pa.RecordBatch.from_arrays([c.filter(pa.array(similarity(a, b) >= least)) for c in batch.columns[:2]], ["a", "b"])
+            guess = similarity(a, b)
+            keep = pa.array(guess >= least - MARGIN)
+            yield pa.RecordBatch.from_arrays([c.filter(keep) for c in [*batch.columns[:2], pa.array(guess >= least + MARGIN)]], ["a", "b", "sure"])
+
+    return near.select("a", "b", "sa", "sb").mapInArrow(verify, "a long, b long, sure boolean")
 
-    return near.select("a", "b", "sa", "sb").mapInArrow(verify, "a long, b long")
+
+def _decided(scored: DataFrame, docs: DataFrame, least: float) -> DataFrame:
+    """Links (a, b): sure pairs, and the others whose whole shingle sets are similar enough."""
+    unsure = scored.where("not sure").select("a", "b")
+    asked = materialise(unsure.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "asked")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    sets = materialise(_shingle_sets(texts.join(asked, "doc_id", "left_semi")), "shingle_sets").distinct()
+    side = lambda x: sets.select(F.col("doc_id").alias(x), F.col("grams").alias(f"g{x}"))
+
+    def verify(batches):
+        for batch in batches:
+            ok = []
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                ok.append(both >= least * (len(x) + len(y) - both))
+            yield pa.RecordBatch.from_arrays([c.filter(pa.array(ok, pa.bool_())) for c in batch.columns[:2]], ["a", "b"])
+
+    exact = unsure.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ga", "gb").mapInArrow(verify, "a long, b long")
+    return scored.where("sure").select("a", "b").unionByName(exact)
+
+
+def near_components(docs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
+    """(node, component) of the links among ``classes(rep, values, sketch)`` of distinct texts."""
+    key = lambda i, x: F.lit(i).cast("long") * (1 << BITS) + x.cast("long")
+    masks = F.array(F.lit(0), *[F.lit(1 << i) for i in range(BITS)])
+    value = lambda i: F.element_at("values", i + 1)
+    ball = lambda i: F.transform(masks, lambda m: key(i, value(i).bitwiseXOR(m)))
+    table = classes.select(F.col("rep").alias("b"), F.explode(F.array(*[key(i, value(i)) for i in range(SEGMENTS)])).alias("key"))
+    ask = classes.select(F.col("rep").alias("a"), F.explode(F.concat(*[ball(i) for i in range(SEGMENTS)])).alias("key"))
+    buckets = materialise(table.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "buckets")
+    few = table.join(buckets.where(F.col("n") <= PAIRS).select("key"), "key")
+    # a ball meets a value if and only if the ball of that value meets back: each pair need only be asked from its smaller side
+    found = ask.join(few, "key").where("a < b").select("a", "b")
+    large = materialise(buckets.where(F.col("n") > PAIRS), "large")
+    shares = F.greatest(F.lit(1), F.ceil(F.col("n") / SHARE)).cast("int")
+    members = materialise(table.join(large, "key").select("key", "b", "n", F.pmod(F.xxhash64("b", "key"), F.col("n")).alias("turn")), "members")
+    askers = materialise(ask.join(large, "key").select("key", "a", F.pmod(F.xxhash64("a"), shares).cast("int").alias("share")), "askers")
+    links = comp = None
+    done = 0
+    for until in LEADERS:
+        turn = members.where(F.col("turn") >= done) if until is None else members.where((F.col("turn") >= done) & (F.col("turn") < until))
+        if comp is None:
+            tell, hear = turn.withColumn("cb", F.col("b")), askers.withColumn("ca", F.col("a"))
+        else:
+            group = lambda df, x: df.join(comp.select(F.col("node").alias(x), F.col("component").alias(f"c{x}")), x, "left").withColumn(f"c{x}", F.coalesce(f"c{x}", x))
+            hear = materialise(group(askers, "a"), "hear")
+            mixed = hear.groupBy("key").agg(F.min("ca").alias("lo"), F.max("ca").alias("hi")).where("lo < hi").select("key")
+            mixed = materialise(mixed, "mixed")
+            if mixed.isEmpty():
+                break
+            tell, hear = group(turn, "b").join(mixed, "key", "left_semi"), hear.join(mixed, "key", "left_semi")
+        tell = tell.select("key", "b", "cb", F.explode(F.sequence(F.lit(0), shares - 1)).alias("share"))
+        more = hear.join(tell, ["key", "share"]).where("ca <> cb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        scored = materialise(_scored((found.unionByName(more) if comp is None else more).distinct(), classes, least), "scored")
+        new = _decided(scored, docs, least)
+        links = materialise(new if links is None else links.unionByName(new), "links")
+        comp = materialise(components(links), "components")
+        done = until
+    return comp
 
 
 def near_groups(docs: DataFrame, least: float = 0.8) -> DataFrame:
     """(doc_id, component_id) by links of similarity ``least`` or more between sets of five-word shingles."""
     rows = materialise(_sketched(docs), "sketched")
     classes = materialise(rows.groupBy("same").agg(F.min("doc_id").alias("rep"), F.first("values").alias("values"), F.first("sketch").alias("sketch")), "classes")
-    comp = components(near_links(classes, least))
+    comp = near_components(docs, classes, least)
     table = materialise(classes.select("same", "rep").join(comp, F.col("rep") == comp["node"], "left").select("same", F.coalesce("component", "rep").alias("component_id")), "groups")
     return rows.select("doc_id", "same").join(table, "same").select("doc_id", "component_id")
 
 
 def near_dedup(docs: DataFrame, least: float = 0.8) -> DataFrame:
-    """Keep of each group of near copies the document with the smallest doc_id (all rows of that id); columns unchanged."""
-    keep = materialise(near_groups(docs, least).where("doc_id = component_id").select("doc_id").distinct(), "kept")
-    return docs.join(keep, "doc_id", "left_semi").select(docs.columns)
+    """Keep of each group of near copies the document with the smallest doc_id; columns unchanged.
+
+    Rows without a doc_id stay; of a repeated doc_id all rows stay if one of them is the first of its group.
+    """
+    kept = near_groups(docs, least).where("doc_id is not null").groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("kept"))
+    gone = materialise(kept.where("not kept").select("doc_id"), "gone")
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)

@@ -129,6 +129,39 @@ def test_near_groups_by_similarity(spark):
     assert got == {1: 1, 2: 1, 3: 3, 4: 1, 5: 5, 6: 6, 7: 6}
 
 
+def edited_copies(edits, bases=3):
+    rows = []
+    for _ in range(bases):
+        base = prose(300).split()
+        for n in edits:
+            text = list(base)
+            for i in RNG.sample(range(300), n):
+                text[i] = f"new{RNG.random()}"
+            rows.append((len(rows), " ".join(text)))
+    return rows
+
+
+def test_near_groups_are_those_of_all_pairs(spark):
+    """Similarities of 0.85 and more or well below 0.8, where the segments' meeting is practically sure."""
+    rows = edited_copies((0, 1, 2, 2, 1, 60, 90, 60))
+    got = {r.doc_id: r.component_id for r in simhash_dedup.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.split() for _, t in rows)]
+    near = [(i, j) for i in range(len(sets)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    assert near and got == brute_components(range(len(rows)), near)
+
+
+def test_large_buckets_lose_no_group(spark, monkeypatch):
+    """Buckets compared in rounds give the groups of all pairs within them, at similarities around the threshold too."""
+    df = spark.createDataFrame(edited_copies((3, 8, 14, 3, 8, 14, 5, 5, 25, 40, 60, 90)), "doc_id long, text string")
+    groups = lambda: {r.doc_id: r.component_id for r in simhash_dedup.near_groups(df).collect()}
+    whole = groups()
+    assert len(set(whole.values())) < len(whole)
+    monkeypatch.setattr(simhash_dedup, "PAIRS", 1)
+    monkeypatch.setattr(simhash_dedup, "LEADERS", (1, 2, None))
+    monkeypatch.setattr(simhash_dedup, "SHARE", 3)
+    assert groups() == whole
+
+
 def test_bpe_is_the_public_library(docs):
     from tokenizers import Tokenizer
 
