@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from covelake.llm.common import small_batches
+from covelake.llm.common import lean, small_batches
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 #: Words kept in a worker's cache; beyond this it starts anew.
@@ -73,7 +73,7 @@ class Codec:
         self.sound: dict[int, bool] = {}
         self.words = regex.compile(PATTERN).findall
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")").split if self.special else None
-        self.cache: dict[str, tuple[str, int, bytes]] = {}
+        self.cache: dict[str, tuple[str, int, str]] = {}
 
     def propose(self, word: bytes) -> list[int]:
         """Greedy longest match."""
@@ -152,7 +152,8 @@ class Codec:
     def learn(self, words: set[str]) -> None:
         new = [w for w in words if w not in self.cache]
         for w, ids in zip(new, self.encode_words([w.encode("utf-8") for w in new]), strict=True):
-            self.cache[w] = (",".join(map(str, ids)), len(ids), b"".join(self.bytes_of[i] for i in ids))
+            back = b"".join(self.bytes_of[i] for i in ids).decode("utf-8", errors="replace")
+            self.cache[w] = (",".join(map(str, ids)), len(ids), w if back == w else back)  # one string serves as key and value
 
     def digest(self, text: str) -> tuple[int, str, str]:
         parts = self.cut(text) if self.cut and any(s in text for s in self.special) else (text,)
@@ -160,7 +161,7 @@ class Codec:
         for k, part in enumerate(parts):
             if k % 2:
                 ids.append(str(self.special[part]))
-                out.append(part.encode())
+                out.append(part)
                 n += 1
             elif part:
                 words = self.words(part)
@@ -175,8 +176,7 @@ class Codec:
                 ids.extend(a)
                 n += sum(b)
                 out.extend(c)
-        decoded = b"".join(out).decode("utf-8", errors="replace").encode("utf-8")
-        return n, hashlib.sha256(",".join(ids).encode()).hexdigest(), hashlib.sha256(decoded).hexdigest()
+        return n, hashlib.sha256(",".join(ids).encode()).hexdigest(), hashlib.sha256("".join(out).encode("utf-8")).hexdigest()
 
     def encode(self, text: str) -> list[int]:
         parts = self.cut(text) if self.cut and text else [text]
@@ -212,4 +212,4 @@ def bpe_digests(docs: DataFrame, tokenizer_path: str | None = None, id_col: str
             n, ids, decoded = zip(*got, strict=True) if got else ((), (), ())
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(run, SCHEMA)
+    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(lean(run), SCHEMA)

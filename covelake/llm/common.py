@@ -6,6 +6,7 @@ every intermediate table goes to the folder named by ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import ctypes
 import math
 import tempfile
 import uuid
@@ -77,6 +78,21 @@ def bucket_keys(n: int) -> np.ndarray:
     return keys
 
 
+def lean(run):
+    """``run`` over batches, whose worker gives freed memory back at the end of its task: workers serve many stages."""
+
+    def own(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+            if trim:
+                trim(0)
+
+    return own
+
+
 def binary_column(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string or binary column; null counts as empty."""
     col = batch.column(batch.schema.get_field_index(name))

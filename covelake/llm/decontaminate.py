@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from covelake.llm.common import binary_column, materialise, small_batches, text_slices
+from covelake.llm.common import binary_column, lean, materialise, small_batches, text_slices
 from covelake.llm.kernels import LOWER, NOT_WORD, Prefix, mix, spans
 
 SCHEMA = "doc_id long, item_id long, item_words long, covered_words long, n_tiles long, coverage double"
@@ -148,7 +148,7 @@ def _scan(docs: DataFrame, index: Index, threshold: float) -> DataFrame:
             kinds = [pa.int64()] * 5 + [pa.float64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["doc_id", "item_id", "item_words", "covered_words", "n_tiles", "coverage"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SCHEMA)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lean(run), SCHEMA)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8) -> DataFrame:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from covelake.llm.common import components, materialise
+from covelake.llm.common import components, lean, materialise
 
 SUBSPACES, CODES, BLOCK = 8, 256, 4096
 
@@ -158,7 +158,7 @@ def _links_of(classes: DataFrame, dim: int, count: int, cosine: float, sigmas: f
             lists = [np.flatnonzero(r).astype(np.int32) for r in look]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own.astype(np.int32)), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(error), pa.array(lists, pa.list_(pa.int32()))], ["rep", "n", "v", "own", "codes", "error", "probes"])
 
-    put = materialise(classes.select("rep", "n", "v").mapInArrow(assign, "rep long, n long, v array<float>, own int, codes binary, error double, probes array<int>"), "lists")
+    put = materialise(classes.select("rep", "n", "v").mapInArrow(lean(assign), "rep long, n long, v array<float>, own int, codes binary, error double, probes array<int>"), "lists")
     blocks = lambda sizes: F.coalesce(F.element_at(F.array(*[F.lit(max(1, -(-s // BLOCK))) for s in sizes]), F.col("list") + 1), F.lit(1))
     member_n, query_n = [0] * len(index.centre), [0] * len(index.centre)  # one number a list
     for r in put.groupBy("own").count().collect():

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from covelake.llm.common import materialise, small_batches
+from covelake.llm.common import lean, materialise, small_batches
 
 #: Tokens of a repeated run.
 RUN = 8
@@ -212,12 +212,12 @@ def main_texts(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every row of ``pages(page_id, url, html)``."""
     small_batches(pages.sparkSession)
     base = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    parsed = materialise(base.mapInArrow(_parse, PARSED), "parsed")
+    parsed = materialise(base.mapInArrow(lean(_parse), PARSED), "parsed")
     asks = parsed.where("main is null").select("rid", F.posexplode("prints").alias("at", "print"))
     seen = parsed.select("rid", F.explode("prints").alias("print")).groupBy("print").agg(F.min("rid").alias("lo"), F.max("rid").alias("hi"))
     twice = materialise(seen.where("lo <> hi").select("print"), "repeated")
     hits = asks.join(twice, "print").groupBy("rid").agg(F.collect_list("at").alias("hits"))
     schema = "page_id long, url string, text string, n_chars long"
-    done = parsed.where("main is not null").select("rid", "page_id", "url", "main", "rest", F.lit(None).cast("array<int>").alias("hits")).mapInArrow(_finish, schema)
+    done = parsed.where("main is not null").select("rid", "page_id", "url", "main", "rest", F.lit(None).cast("array<int>").alias("hits")).mapInArrow(lean(_finish), schema)
     others = parsed.where("main is null").select("rid", "page_id", "url", "main", "rest").join(hits, "rid", "left")
-    return done.union(others.select("rid", "page_id", "url", "main", "rest", "hits").mapInArrow(_finish, schema))
+    return done.union(others.select("rid", "page_id", "url", "main", "rest", "hits").mapInArrow(lean(_finish), schema))

@@ -35,6 +35,8 @@ def _base(seed: int) -> tuple[np.ndarray, int, int]:
 
 
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+#: Longer tables of powers are made anew instead of kept (16 bytes an entry and seed).
+KEPT_POWERS = 1 << 20
 
 
 def powers(seed: int, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -53,7 +55,9 @@ def powers(seed: int, n: int) -> tuple[np.ndarray, np.ndarray]:
                 p[done : done + m] = p[:m] * U64(step)
                 done, step = done + m, step * step % (1 << 64)
             out.append(p)
-        have = _powers[seed] = tuple(out)
+        have = tuple(out)
+        if size <= KEPT_POWERS:
+            _powers[seed] = have
     return have
 
 

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from covelake.llm.common import binary_column, materialise, small_batches
+from covelake.llm.common import binary_column, lean, materialise, small_batches
 from covelake.llm.kernels import Prefix, mix
 from covelake.llm.training import fold
 
@@ -195,7 +195,7 @@ def word_counts(docs: DataFrame, flush: int = 200_000) -> DataFrame:
         for g, own in seen.items():
             yield from rows({(w, g): n for w, n in own.items()})
 
-    return docs.select("text", "group").mapInArrow(run, "word binary, group int, n long").groupBy("word", "group").agg(F.sum("n").alias("n"))
+    return docs.select("text", "group").mapInArrow(lean(run), "word binary, group int, n long").groupBy("word", "group").agg(F.sum("n").alias("n"))
 
 
 def fit(counts: DataFrame, ends: int, path: str, rounds: int = 1, prior: float = 50.0) -> np.ndarray:
@@ -214,7 +214,7 @@ def fit(counts: DataFrame, ends: int, path: str, rounds: int = 1, prior: float =
             hit = np.flatnonzero(into)
             yield pa.RecordBatch.from_arrays([pa.array(hit, pa.int32()), pa.array(into[hit])], ["piece", "n"])
 
-        got = counts.select("word", "n").mapInArrow(run, "piece int, n double").groupBy("piece").agg(F.sum("n").alias("n")).collect()  # one row a piece
+        got = counts.select("word", "n").mapInArrow(lean(run), "piece int, n double").groupBy("piece").agg(F.sum("n").alias("n")).collect()  # one row a piece
         total = first * prior
         for r in got:
             total[r.piece] += r.n
@@ -321,7 +321,7 @@ def lm_scores(docs: DataFrame, modulus: int = 5, held: int = 1, vocabulary_path:
             if r:
                 yield pa.RecordBatch.from_arrays([pa.array(rare[0], pa.int64()), pa.nulls(r, pa.int64()), pa.nulls(r, pa.bool_()), pa.nulls(r, pa.int64()), pa.nulls(r, pa.int64()), pa.nulls(r, vector), pa.array(rare[1], pa.binary()), pa.array(rare[2], pa.int64()), pa.array(rare[3], pa.float64())], names)
 
-    rows = materialise(base.select("doc_id", "text", "held_out").mapInArrow(run, "rid long, doc_id long, held_out boolean, n_tokens long, n_known long, sums array<double>, word binary, times long, lat double"), "scored")
+    rows = materialise(base.select("doc_id", "text", "held_out").mapInArrow(lean(run), "rid long, doc_id long, held_out boolean, n_tokens long, n_known long, sums array<double>, word binary, times long, lat double"), "scored")
     rare = rows.where("word is not null").select("rid", "word", "times", "lat").join(counts, "word", "left")
     times, zero = F.col("times"), F.lit(0)
     terms = [F.sum(times * (F.log10(F.coalesce("n", zero) + 0.5) - F.lit(log_z))).alias("s0")]

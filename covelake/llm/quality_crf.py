@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from covelake.llm.common import binary_column, small_batches, text_slices
+from covelake.llm.common import binary_column, lean, small_batches, text_slices
 from covelake.llm.kernels import BLANK, Prefix, spans
 from covelake.llm.training import fold, labelled_sample, platt, sigmoid
 
@@ -204,7 +204,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, max_docs: int = 3000, max
             names = [n for n in batch.schema.names if keep_columns or n != "text"]
             yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(n)) for n in names), pa.array(s), pa.array((s >= 0.5).astype(np.int32))], [*names, "score", "predicted"])
 
-    return base.mapInArrow(run, schema)
+    return base.mapInArrow(lean(run), schema)
 
 
 def quality_filter(docs: DataFrame, labels: DataFrame) -> DataFrame:

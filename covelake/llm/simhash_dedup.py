@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from covelake.llm.common import binary_column, components, materialise, small_batches, text_slices
+from covelake.llm.common import binary_column, components, lean, materialise, small_batches, text_slices
 from covelake.llm.kernels import BLANK, LOWER, Prefix, mix, spans
 
 PART = 1 << 16
@@ -57,7 +57,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
 
     small_batches(docs.sparkSession)
-    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(lean(run), "doc_id long, fp long")
 
 
 def links(classes: DataFrame) -> DataFrame:
@@ -172,7 +172,7 @@ def _sketched(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(v.astype(np.int32).tolist(), pa.list_(pa.int32())), pa.array([x.tobytes() for x in s], pa.binary())], ["doc_id", "same", "values", "sketch"])
 
     small_batches(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, same binary, values array<int>, sketch binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(lean(run), "doc_id long, same binary, values array<int>, sketch binary")
 
 
 def _shingle_sets(rows: DataFrame) -> DataFrame:
@@ -190,7 +190,7 @@ def _shingle_sets(rows: DataFrame) -> DataFrame:
                 out.append(np.unique(_grams(tok, np.array([0, len(tok)], np.int64), 5)[0]).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["doc_id", "grams"])
 
-    return rows.mapInArrow(run, "doc_id long, grams binary")
+    return rows.mapInArrow(lean(run), "doc_id long, grams binary")
 
 
 def _scored(found: DataFrame, classes: DataFrame, least: float) -> DataFrame:
@@ -208,7 +208,7 @@ def _scored(found: DataFrame, classes: DataFrame, least: float) -> DataFrame:
             keep = pa.array(guess >= least - MARGIN)
             yield pa.RecordBatch.from_arrays([c.filter(keep) for c in [*batch.columns[:2], pa.array(guess >= least + MARGIN)]], ["a", "b", "sure"])
 
-    return near.select("a", "b", "sa", "sb").mapInArrow(verify, "a long, b long, sure boolean")
+    return near.select("a", "b", "sa", "sb").mapInArrow(lean(verify), "a long, b long, sure boolean")
 
 
 def _decided(scored: DataFrame, docs: DataFrame, least: float) -> DataFrame:
@@ -228,7 +228,7 @@ def _decided(scored: DataFrame, docs: DataFrame, least: float) -> DataFrame:
                 ok.append(both >= least * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(ok, pa.bool_())) for c in batch.columns[:2]], ["a", "b"])
 
-    exact = unsure.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ga", "gb").mapInArrow(verify, "a long, b long")
+    exact = unsure.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ga", "gb").mapInArrow(lean(verify), "a long, b long")
     return scored.where("sure").select("a", "b").unionByName(exact)
 
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from covelake.llm.common import binary_column, bucket_keys, materialise, partitions_for, small_batches, text_slices
+from covelake.llm.common import binary_column, bucket_keys, lean, materialise, partitions_for, small_batches, text_slices
 from covelake.llm.kernels import Prefix, mix, sliding_min
 
 U64 = np.uint64
@@ -416,13 +416,13 @@ def suffix_dedup(docs: DataFrame, min_len: int = 100, with_text: bool = False, i
     else:  # order rows that share an id
         base = materialise(base.orderBy("doc_id", "text").withColumn("sid", F.monotonically_increasing_id()).select("sid", "doc_id", "text"), "ordered")
     n = partitions_for(base)
-    found = base.select("sid", "text").mapInArrow(send_groups(n, min_len), MOVED)
-    found = materialise(found.repartition(n, "key").mapInArrow(match_groups(n, min_len), MOVED), "groups")
-    texts = base.select("sid", "doc_id", "text").mapInArrow(send_texts(n), MOVED)
-    edges = texts.union(found.where(f"kind = {EDGE}")).repartition(n, "key").mapInArrow(send_windows(n, min_len), MOVED)
-    more = materialise(edges.repartition(n, "key").mapInArrow(match_windows(n, min_len), MOVED), "windows")
+    found = base.select("sid", "text").mapInArrow(lean(send_groups(n, min_len)), MOVED)
+    found = materialise(found.repartition(n, "key").mapInArrow(lean(match_groups(n, min_len)), MOVED), "groups")
+    texts = base.select("sid", "doc_id", "text").mapInArrow(lean(send_texts(n)), MOVED)
+    edges = texts.union(found.where(f"kind = {EDGE}")).repartition(n, "key").mapInArrow(lean(send_windows(n, min_len)), MOVED)
+    more = materialise(edges.repartition(n, "key").mapInArrow(lean(match_windows(n, min_len)), MOVED), "windows")
     removed = found.where(f"kind = {REMOVED}").union(more)
-    got = texts.union(removed).repartition(n, "key").mapInArrow(cut_texts(with_text), RESULT + ", kept_text string" * with_text)
+    got = texts.union(removed).repartition(n, "key").mapInArrow(lean(cut_texts(with_text)), RESULT + ", kept_text string" * with_text)
     return got.drop("sid")
 
 

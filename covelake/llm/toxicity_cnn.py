@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from covelake.llm.common import binary_column, small_batches, text_slices
+from covelake.llm.common import binary_column, lean, small_batches, text_slices
 from covelake.llm.kernels import LOWER, NOT_WORD, Prefix, mix, spans
 from covelake.llm.training import fold, labelled_sample, platt, sigmoid
 
@@ -186,4 +186,4 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, max_docs: int = 2400, ma
             limit = np.array([cut.get(x or "", 0.5) for x in batch.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(3), pa.array(s), pa.array((s >= 0.5).astype(np.int32)), pa.array(limit, pa.float64()), pa.array(s >= limit)], ["doc_id", "held_out", "score", "predicted", "threshold", "flagged"])
 
-    return base.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int, threshold double, flagged boolean")
+    return base.mapInArrow(lean(run), "doc_id long, held_out boolean, score double, predicted int, threshold double, flagged boolean")
