@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from covelake.llm.common import lean, small_batches
+from covelake.llm.common import kept_caches, lean, small_batches
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 #: Words kept in a worker's cache; beyond this it starts anew.
@@ -207,9 +207,10 @@ def bpe_digests(docs: DataFrame, tokenizer_path: str | None = None, id_col: str
     small_batches(docs.sparkSession)
     def run(batches):
         c = codec(tokenizer_path or default_path())
+        kept_caches["bpe"] = codec.cache_clear
         for batch in batches:
             got = [c.digest(t or "") for t in batch.column(1).to_pylist()]
             n, ids, decoded = zip(*got, strict=True) if got else ((), (), ())
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(lean(run), SCHEMA)
+    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(lean(run, keeps="bpe"), SCHEMA)

@@ -78,10 +78,19 @@ def bucket_keys(n: int) -> np.ndarray:
     return keys
 
 
-def lean(run):
-    """``run`` over batches, whose worker gives freed memory back at the end of its task: workers serve many stages."""
+#: Caches that an operator keeps in a worker between its tasks: name -> what empties it.
+kept_caches: dict = {}
+
+
+def lean(run, keeps: str | None = None):
+    """``run`` over batches in a worker that serves many stages.
+
+    Caches of other operators than ``keeps`` are emptied first, and freed memory is given back at the end of the task.
+    """
 
     def own(batches):
+        for name in [n for n in kept_caches if n != keeps]:
+            kept_caches.pop(name)()
         try:
             yield from run(batches)
         finally:
