@@ -99,6 +99,8 @@ PAIRS, LEADERS = 32, (4, 64, None)
 SHARE = 256
 #: Complete distance beyond which two documents can't be similar (expected 24 at similarity 0.8, 120 if unrelated).
 FAR = 60
+#: The same for the 48 bits of the two segments after the one that met, which the lookup itself compares (expected 5 to 7; 24 if unrelated).
+FAR_NEXT = 17
 #: Width around the asked similarity in which sketches (error 0.025) don't decide but whole shingle sets do.
 MARGIN = 0.08
 
@@ -238,16 +240,20 @@ def near_components(docs: DataFrame, classes: DataFrame, least: float) -> DataFr
     masks = F.array(F.lit(0), *[F.lit(1 << i) for i in range(BITS)])
     value = lambda i: F.element_at("values", i + 1)
     ball = lambda i: F.transform(masks, lambda m: key(i, value(i).bitwiseXOR(m)))
-    table = classes.select(F.col("rep").alias("b"), F.explode(F.array(*[key(i, value(i)) for i in range(SEGMENTS)])).alias("key"))
-    ask = classes.select(F.col("rep").alias("a"), F.explode(F.concat(*[ball(i) for i in range(SEGMENTS)])).alias("key"))
+    after = F.array(*[F.shiftleft(value((i + 1) % SEGMENTS).cast("long"), BITS).bitwiseOR(value((i + 2) % SEGMENTS).cast("long")) for i in range(SEGMENTS)])
+    # the number of the segment is in the key's upper bits
+    next_bits = lambda k: F.element_at("after", (F.shiftright(k, BITS) + 1).cast("int"))
+    near = F.bit_count(F.col("na").bitwiseXOR(F.col("nb"))) <= FAR_NEXT
+    table = classes.select(F.col("rep").alias("b"), after.alias("after"), F.explode(F.array(*[key(i, value(i)) for i in range(SEGMENTS)])).alias("key")).select("key", "b", next_bits(F.col("key")).alias("nb"))
+    ask = classes.select(F.col("rep").alias("a"), after.alias("after"), F.explode(F.concat(*[ball(i) for i in range(SEGMENTS)])).alias("key")).select("key", "a", next_bits(F.col("key")).alias("na"))
     buckets = materialise(table.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "buckets")
     few = table.join(buckets.where(F.col("n") <= PAIRS).select("key"), "key")
     # a ball meets a value if and only if the ball of that value meets back: each pair need only be asked from its smaller side
-    found = ask.join(few, "key").where("a < b").select("a", "b")
+    found = ask.join(few, "key").where((F.col("a") < F.col("b")) & near).select("a", "b")
     large = materialise(buckets.where(F.col("n") > PAIRS), "large")
     shares = F.greatest(F.lit(1), F.ceil(F.col("n") / SHARE)).cast("int")
-    members = materialise(table.join(large, "key").select("key", "b", "n", F.pmod(F.xxhash64("b", "key"), F.col("n")).alias("turn")), "members")
-    askers = materialise(ask.join(large, "key").select("key", "a", F.pmod(F.xxhash64("a"), shares).cast("int").alias("share")), "askers")
+    members = materialise(table.join(large, "key").select("key", "b", "nb", "n", F.pmod(F.xxhash64("b", "key"), F.col("n")).alias("turn")), "members")
+    askers = materialise(ask.join(large, "key").select("key", "a", "na", F.pmod(F.xxhash64("a"), shares).cast("int").alias("share")), "askers")
     links = comp = None
     done = 0
     for until in LEADERS:
@@ -262,8 +268,8 @@ def near_components(docs: DataFrame, classes: DataFrame, least: float) -> DataFr
             if mixed.isEmpty():
                 break
             tell, hear = group(turn, "b").join(mixed, "key", "left_semi"), hear.join(mixed, "key", "left_semi")
-        tell = tell.select("key", "b", "cb", F.explode(F.sequence(F.lit(0), shares - 1)).alias("share"))
-        more = hear.join(tell, ["key", "share"]).where("ca <> cb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        tell = tell.select("key", "b", "nb", "cb", F.explode(F.sequence(F.lit(0), shares - 1)).alias("share"))
+        more = hear.join(tell, ["key", "share"]).where((F.col("ca") != F.col("cb")) & near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         scored = materialise(_scored((found.unionByName(more) if comp is None else more).distinct(), classes, least), "scored")
         new = _decided(scored, docs, least)
         links = materialise(new if links is None else links.unionByName(new), "links")
