@@ -252,7 +252,8 @@ def near_components(docs: DataFrame, classes: DataFrame, least: float) -> DataFr
     found = ask.join(few, "key").where((F.col("a") < F.col("b")) & near).select("a", "b")
     large = materialise(buckets.where(F.col("n") > PAIRS), "large")
     shares = F.greatest(F.lit(1), F.ceil(F.col("n") / SHARE)).cast("int")
-    members = materialise(table.join(large, "key").select("key", "b", "nb", "n", F.pmod(F.xxhash64("b", "key"), F.col("n")).alias("turn")), "members")
+    # a document that leads one bucket leads the others of its size too, so that its group meets few leaders in all
+    members = materialise(table.join(large, "key").select("key", "b", "nb", "n", F.floor(F.shiftrightunsigned(F.xxhash64("b"), 11) / F.lit(float(1 << 53)) * F.col("n")).alias("turn")), "members")
     askers = materialise(ask.join(large, "key").select("key", "a", "na", F.pmod(F.xxhash64("a"), shares).cast("int").alias("share")), "askers")
     links = comp = None
     done = 0
