@@ -26,6 +26,10 @@ from covelake.llm.common import kept_caches, lean, small_batches
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 #: Words kept in a worker's cache; beyond this it starts anew.
 CACHE_WORDS = 500_000
+#: Bytes of texts whose new words are encoded together, and length of a word from which merging keeps a heap.
+SLICE, LONG_WORD = 1 << 20, 48
+#: Rank of pairs that don't merge.
+NEVER = 1 << 60
 #: The public pattern of this vocabulary family, with its blanks spelt out (fixed value).
 _S = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_S}\p{{L}}\p{{N}}]+|[{_S}]+(?![^{_S}])|[{_S}]+"
@@ -56,15 +60,25 @@ class Codec:
         for token, i in self.special.items():
             self.bytes_of[i] = token.encode()
         n = len(self.bytes_of)
-        self.longest = max(map(len, self.id_of))
+        #: longest token that begins with three bytes
+        self.longest: dict[bytes, int] = {}
+        for token in self.id_of:
+            if len(token) > 2:
+                self.longest[token[:3]] = max(len(token), self.longest.get(token[:3], 0))
+        self.id_of_byte = [self.id_of.get(bytes([b]), -1) for b in range(256)]
+        self.written = [str(i) for i in range(n)]
         #: rank of the merge that makes a token (-1: none), and its two parts
         self.rank = np.full(n, -1, np.int64)
         self.left, self.right = np.full(n, -1, np.int64), np.full(n, -1, np.int64)
         self.merge: dict[tuple[int, int], tuple[int, int]] = {}
+        self.rank_of: dict[tuple[int, int], int] = {}
+        self.made: list[int] = []
         for r, pair in enumerate(spec["model"]["merges"]):
             a, b = (vocab[x] for x in (pair if isinstance(pair, list) else pair.split(" ")))
             c = self.id_of[self.bytes_of[a] + self.bytes_of[b]]
             self.merge[a, b] = (r, c)
+            self.rank_of[a, b] = r
+            self.made.append(c)
             if self.rank[c] < 0:
                 self.rank[c], self.left[c], self.right[c] = r, a, b
         keys = np.array([a << 32 | b for a, b in self.merge], np.int64)
@@ -77,10 +91,10 @@ class Codec:
 
     def propose(self, word: bytes) -> list[int]:
         """Greedy longest match."""
-        out, i, n = [], 0, len(word)
+        out, i, n, get, longest = [], 0, len(word), self.id_of.get, self.longest.get
         while i < n:
-            for j in range(min(n, i + self.longest), i, -1):
-                t = self.id_of.get(word[i:j])
+            for j in range(min(n, i + longest(word[i : i + 3], 2)), i, -1):
+                t = get(word[i:j])
                 if t is not None:
                     out.append(t)
                     i = j
@@ -89,6 +103,18 @@ class Codec:
 
     def exact(self, word: bytes) -> list[int]:
         """Merging by rank, leftmost first; a heap over a linked list keeps very long words near linear."""
+        if len(word) < LONG_WORD:
+            short, get, made = [self.id_of_byte[x] for x in word], self.rank_of.get, self.made
+            ranks = [get(pair, NEVER) for pair in zip(short, short[1:])]
+            while ranks and (r := min(ranks)) < NEVER:
+                i = ranks.index(r)
+                short[i] = made[r]
+                del short[i + 1], ranks[i]
+                if i < len(ranks):
+                    ranks[i] = get((short[i], short[i + 1]), NEVER)
+                if i:
+                    ranks[i - 1] = get((short[i - 1], short[i]), NEVER)
+            return short
         ids: list[int | None] = [self.id_of[word[i : i + 1]] for i in range(len(word))]
         n = len(ids)
         after, before = [*range(1, n), -1], [*range(-1, n - 1)]
@@ -151,12 +177,17 @@ class Codec:
 
     def learn(self, words: set[str]) -> None:
         new = [w for w in words if w not in self.cache]
+        bytes_of, written, cache = self.bytes_of, self.written, self.cache
         for w, ids in zip(new, self.encode_words([w.encode("utf-8") for w in new]), strict=True):
-            back = b"".join(self.bytes_of[i] for i in ids).decode("utf-8", errors="replace")
-            self.cache[w] = (",".join(map(str, ids)), len(ids), w if back == w else back)  # one string serves as key and value
+            back = b"".join([bytes_of[i] for i in ids]).decode("utf-8", errors="replace")
+            cache[w] = (",".join([written[i] for i in ids]), len(ids), w if back == w else back)  # one string serves as key and value
 
-    def digest(self, text: str) -> tuple[int, str, str]:
-        parts = self.cut(text) if self.cut and any(s in text for s in self.special) else (text,)
+    def parts(self, text: str) -> list:
+        """The text as runs of words (lists) and special tokens (strings) in turn."""
+        cut = self.cut(text) if self.cut and any(s in text for s in self.special) else (text,)
+        return [part if k % 2 else self.words(part) for k, part in enumerate(cut)]
+
+    def digest(self, parts: list) -> tuple[int, str, str]:
         ids, n, out = [], 0, []
         for k, part in enumerate(parts):
             if k % 2:
@@ -164,20 +195,27 @@ class Codec:
                 out.append(part)
                 n += 1
             elif part:
-                words = self.words(part)
-                try:
-                    got = [self.cache[w] for w in words]
-                except KeyError:
-                    if len(self.cache) > CACHE_WORDS:
-                        self.cache.clear()
-                    self.learn(set(words))
-                    got = [self.cache[w] for w in words]
-                a, b, c = zip(*got, strict=True)
+                a, b, c = zip(*[self.cache[w] for w in part], strict=True)
                 ids.extend(a)
                 n += sum(b)
                 out.extend(c)
         return n, hashlib.sha256(",".join(ids).encode()).hexdigest(), hashlib.sha256("".join(out).encode("utf-8")).hexdigest()
 
+    def digests(self, texts: list[str]) -> list[tuple[int, str, str]]:
+        """Of all texts, about SLICE characters at a time: new words of a slice are encoded together."""
+        out, i = [], 0
+        while i < len(texts):
+            held, size = [], 0
+            while i < len(texts) and (not held or size + len(texts[i]) <= SLICE):
+                held.append(self.parts(texts[i]))
+                size += len(texts[i])
+                i += 1
+            if len(self.cache) > CACHE_WORDS:
+                self.cache.clear()
+            self.learn(set().union(*(part for parts in held for part in parts[::2])))
+            out += [self.digest(parts) for parts in held]
+        return out
+
     def encode(self, text: str) -> list[int]:
         parts = self.cut(text) if self.cut and text else [text]
         return [t for k, p in enumerate(parts) for t in ([self.special[p]] if k % 2 else [i for ids in self.encode_words([w.encode() for w in self.words(p)]) for i in ids])]
@@ -209,7 +247,7 @@ def bpe_digests(docs: DataFrame, tokenizer_path: str | None = None, id_col: str
         c = codec(tokenizer_path or default_path())
         kept_caches["bpe"] = codec.cache_clear
         for batch in batches:
-            got = [c.digest(t or "") for t in batch.column(1).to_pylist()]
+            got = c.digests([t or "" for t in batch.column(1).to_pylist()])
             n, ids, decoded = zip(*got, strict=True) if got else ((), (), ())
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 

@@ -167,6 +167,7 @@ def test_bpe_is_the_public_library(docs):
 
     t = Tokenizer.from_file(bpe_codec.default_path())
     extra = ["<|endoftext|> a<|endoftext|>", "it's'll 123 ４５ ½\t\t x", "\u0085　 x\x1c\n\n y", "\U0001f600 ﬁn", " " * 50 + "end"] + ["".join(RNG.choice("theaning  \n'.,!0129éñßÀ中日\U0001f600") for _ in range(40)) for _ in range(300)]
+    extra += ["".join(RNG.choice("theaningsor") for _ in range(bpe_codec.LONG_WORD + d)) for d in (-2, -1, 0, 1, 200) for _ in range(20)]
     rows = docs.select("doc_id", "text").union(docs.sparkSession.createDataFrame([(1000 + i, x) for i, x in enumerate(extra)], "doc_id long, text string"))
     want = []
     for r in rows.collect():
