@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -88,3 +91,31 @@ def ranking_quality(df: DataFrame, label: str, score: str) -> DataFrame:
         F.round(F.sum(F.col("p") * (2 * F.col("below") + F.col("n"))).cast("double") / (2 * F.sum("p") * F.sum("n")).cast("double"), 6).alias("roc_auc"),
         F.round(F.sum(F.col("p").cast("double") * F.col("tp") / F.col("taken")) / F.sum("p").cast("double"), 6).alias("average_precision"),
     )
+
+
+def permuted(df: DataFrame, column: str, key: str, seed: int, bucket_rows: int = 10_000) -> DataFrame:
+    """``df`` with the values of ``column`` exchanged among rows: within random buckets, so that no task orders all rows. ``key`` is unique."""
+    buckets = max(1, math.ceil(df.count() / bucket_rows))
+    place = lambda salt: F.row_number().over(Window.partitionBy("_bucket").orderBy(F.xxhash64(key, F.lit(salt)), key))
+    dealt = df.withColumn("_bucket", F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(buckets)))
+    given = dealt.select("_bucket", place(f"{seed} from").alias("_at"), column)
+    return dealt.withColumn("_at", place(f"{seed} to")).drop(column).join(given, ["_bucket", "_at"]).select(df.columns)
+
+
+def permutation_importance(fitted, rows: DataFrame, columns: list[str], label: str, key: str, repeats: int = 5, seed: int = 42) -> DataFrame:
+    """(feature, importance, spread): mean and population deviation of the loss of ROC-AUC when a feature's values change places."""
+    from pyspark.ml.functions import vector_to_array
+
+    auc = lambda x: ranking_quality(fitted.transform(x).withColumn("proba", vector_to_array("probability")[1]), label, "proba").first()["roc_auc"]
+    base, out = auc(rows), []
+    for i, c in enumerate(columns):
+        lost = [base - auc(permuted(rows, c, key, seed + i * repeats + r)) for r in range(repeats)]
+        mean = sum(lost) / repeats
+        out.append((c, mean, math.sqrt(sum((x - mean) ** 2 for x in lost) / repeats)))
+    return rows.sparkSession.createDataFrame(out, "feature string, importance double, spread double")
+
+
+def model_card(name: str, trained_on: int, tested_on: int, metrics: dict[str, float], importances: dict[str, float], day: str) -> str:
+    """The model's card as JSON; ``day`` is part of the version tag and given by the caller."""
+    ranked = sorted(importances.items(), key=lambda x: (-x[1], x[0]))
+    return json.dumps({"name": name, "version": f"{name}-{day}", "trained_on": trained_on, "tested_on": tested_on, "metrics": metrics, "importances": [{"feature": f, "importance": v} for f, v in ranked]}, ensure_ascii=False, sort_keys=True)

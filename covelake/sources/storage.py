@@ -6,10 +6,12 @@ rewritten from itself. The pointer is a small text dataset written through Spark
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from covelake.operators.history import merge_latest
 from covelake.operators.relational import union_by_name
@@ -57,3 +59,28 @@ class Lake:
         from covelake.operators.relational import dedup_latest
 
         return self.overwrite(name, merge_latest(self.read(name), new, keys, order) if self.exists(name) else dedup_latest(new, keys, order))
+
+    def compact(self, name: str, file_bytes: int = 256 << 20) -> DataFrame:
+        """The newest version anew in files of about ``file_bytes``; a table that has no more files than that stays as it is."""
+        fs, p = self._fs(f"{self.root}/{name}/{self.versions(name)[-1]}")
+        parts = [s.getLen() for s in fs.listStatus(p) if s.getPath().getName().startswith("part-")]
+        files = max(1, math.ceil(sum(parts) / file_bytes))
+        return self.overwrite(name, self.read(name).repartition(files)) if len(parts) > files else self.read(name)
+
+    def vacuum(self, name: str, hours: float = 168.0, now: float | None = None) -> list[str]:
+        """Drops what is older than ``hours`` and not the newest version, unfinished writes included; returns what went."""
+        found = self.versions(name)
+        if not found:
+            return []
+        before = ((time.time() if now is None else now) - hours * 3600) * 1e9
+        fs, p = self._fs(f"{self.root}/{name}")
+        old = sorted(v for s in fs.listStatus(p) if (v := s.getPath().getName()) != found[-1] and v[:1] == "v" and v[1:].isdigit() and int(v[1:]) < before)
+        for v in old:
+            fs.delete(self._fs(f"{self.root}/{name}/{v}")[1], True)
+        return old
+
+    def analyse(self, name: str) -> DataFrame:
+        """(column, n_rows, n_null, n_distinct) of the newest version, in one pass; distinct values are estimated."""
+        df = self.read(name)
+        stats = [F.struct(F.lit(c).alias("column"), F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum(F.col(f"`{c}`").isNull().cast("long")), F.lit(0)).alias("n_null"), F.approx_count_distinct(F.col(f"`{c}`")).alias("n_distinct")) for c in df.columns]
+        return df.agg(F.array(*stats).alias("s")).select(F.inline("s"))

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from covelake.functions import semantics as S
-from covelake.operators import history, quality, reconcile, relational
+from covelake.operators import history, ml, quality, reconcile, relational
 from covelake.plans import catalogue, graph, guard
 from covelake.sources import landing
 from covelake.sources.storage import Lake
@@ -124,3 +124,34 @@ def test_catalogue_matches_duckdb(spark, name):
     got = sorted(tuple(map(str, r)) for r in df.select(*cols).collect())
     want = con.execute(f"select {', '.join(cols)} from ({catalogue.ORACLES[name]})").fetchall()
     assert got == sorted(tuple(map(str, r)) for r in want)
+
+
+def test_permuting_keeps_values_and_other_columns(spark):
+    df = spark.range(1000).select(F.col("id").alias("k"), F.when(F.col("id") % 7 != 0, F.col("id") * 3).alias("x"), (F.col("id") % 5).alias("y"))
+    got = ml.permuted(df, "x", "k", 1, bucket_rows=100)
+    assert got.columns == df.columns
+    assert sorted(map(str, (r.x for r in got.collect()))) == sorted(map(str, (r.x for r in df.collect())))
+    assert got.select("k", "y").exceptAll(df.select("k", "y")).isEmpty() and got.join(df, ["k", "x"]).count() < 50
+
+
+def test_permutation_importance_and_card(spark):
+    rows = spark.range(400).select(F.col("id").alias("k"), F.lit("c").alias("cat"), F.pmod(F.xxhash64("id"), F.lit(100)).cast("double").alias("tells"), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(100)).cast("double").alias("noise"))
+    rows = rows.withColumn("label", (F.col("tells") > 50).cast("int"))
+    fitted, scored = ml.train_and_score(rows, F.lit(True), ["cat"], ["tells", "noise"], {})
+    x = ml.prepared(rows, ["cat"], ["tells", "noise"], {})
+    got = {r.feature: r for r in ml.permutation_importance(fitted, x, ["tells", "noise"], "label", "k", repeats=2).collect()}
+    assert got["tells"].importance > 0.3 and abs(got["noise"].importance) < 0.05 and got["tells"].spread >= 0
+    card = json.loads(ml.model_card("m", 400, 0, {"roc_auc": 1.0}, {f: r.importance for f, r in got.items()}, "2026-06-30"))
+    assert card["version"] == "m-2026-06-30" and [i["feature"] for i in card["importances"]] == ["tells", "noise"]
+
+
+def test_table_maintenance(spark, tmp_path):
+    lake = Lake(spark, f"file://{tmp_path}")
+    lake.overwrite("t", spark.range(100).select("id", F.when(F.col("id") > 9, 1).alias("a.b")).repartition(6))
+    assert lake.compact("t").count() == 100 and len(list((tmp_path / "t" / lake.versions("t")[-1]).glob("part-*.parquet"))) == 1
+    versions = lake.versions("t")
+    lake.compact("t")
+    assert len(versions) == 2 and lake.versions("t") == versions
+    assert {r.column: (r.n_rows, r.n_null) for r in lake.analyse("t").collect()} == {"id": (100, 0), "a.b": (100, 10)}
+    assert lake.vacuum("t") == [] and lake.vacuum("t", 0) == versions[:1] and lake.read("t").count() == 100
+    assert lake.vacuum("none") == []
