@@ -85,10 +85,11 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", te
 
 
 # --- similarity of 0.8 and more ------------------------------------------------------------------------------
-# Documents that share four fifths of their five-word shingles differ in some 25 of 240 bits of a fingerprint over
-# word pairs. It is cut into SEGMENTS of BITS bits; a document asks for its own value and the Hamming ball of radius 1
-# around it in each segment (at similarity 0.8 one of the segments meets with probability 0.97, nearer copies more
-# surely), and what is met is verified by the complete distance and by the estimated similarity of shingle sets.
+# Documents meet in two ways. By fingerprint: 240 bits over the distinct word pairs are cut into SEGMENTS of BITS bits,
+# and documents with the same value of a segment meet. By prefix: the distinct
+# five-word shingles of a document are put in one order for all documents (those often met in a sample last, then by
+# hash); sets of n shingles that share ``least`` of their union share one of their first n - ceil(least * n) + 1, so this
+# way loses no pair, however its copies were edited. What is met is verified by the similarity of shingle sets.
 
 SEGMENTS, BITS, BINS = 10, 24, 256
 #: Buckets up to PAIRS members compare all pairs at once. Larger ones go in rounds: up to LEADERS[i] members of a bucket
@@ -97,12 +98,12 @@ SEGMENTS, BITS, BINS = 10, 24, 256
 PAIRS, LEADERS = 32, (4, 64, None)
 #: Askers of a large bucket that one task compares with its members.
 SHARE = 256
-#: Complete distance beyond which two documents can't be similar (expected 24 at similarity 0.8, 120 if unrelated).
-FAR = 60
-#: The same for the 48 bits of the two segments after the one that met, which the lookup itself compares (expected 5 to 7; 24 if unrelated).
+#: Bits of the two segments after the one that met that may differ (the lookup itself compares them; expected 5 to 7, 24 if unrelated).
 FAR_NEXT = 17
-#: Width around the asked similarity in which sketches (error 0.025) don't decide but whole shingle sets do.
-MARGIN = 0.08
+#: Standard errors of a sketch around the asked similarity in which it doesn't decide but whole shingle sets do.
+ERRORS = 5
+#: Documents of the sample from which often met shingles are learnt, and how many of those are kept. They only move shingles in the order.
+SAMPLE, OFTEN = 20_000, 200_000
 
 
 def _grams(tok: np.ndarray, off: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -119,6 +120,61 @@ def _grams(tok: np.ndarray, off: np.ndarray, k: int) -> tuple[np.ndarray, np.nda
     return mix(h), owner[start]
 
 
+def _distinct(h: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each owner's distinct hashes, ascending."""
+    order = np.lexsort((h, own))
+    h, own = h[order], own[order]
+    head = np.ones(len(h), bool)
+    head[1:] = (h[1:] != h[:-1]) | (own[1:] != own[:-1])
+    return h[head], own[head]
+
+
+def _shingles(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, owners) of the distinct five-word shingles of concatenated texts."""
+    low = LOWER[data]
+    start, end, owner = spans(low, off, BLANK)
+    if not len(start):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    size = np.bincount(owner, minlength=len(off) - 1)
+    return _distinct(*_grams(mix(Prefix(low).range(start, end)), np.concatenate([[0], np.cumsum(size)]).astype(np.int64), 5))
+
+
+def prefixes(data: np.ndarray, off: np.ndarray, often: np.ndarray, times: np.ndarray, least: float) -> tuple[list[list[int]], np.ndarray]:
+    """(prefixes, set sizes) of concatenated texts: the first shingles in the order that all documents share."""
+    n = len(off) - 1
+    h, own = _shingles(data, off)
+    seen = np.zeros(len(h), np.int64)
+    if len(often):
+        at = np.minimum(np.searchsorted(often, h), len(often) - 1)
+        seen = np.where(often[at] == h, times[at], 0)
+    order = np.lexsort((h, seen, own))
+    h, own = h[order], own[order]
+    size = np.bincount(own, minlength=n)
+    first = np.concatenate([[0], np.cumsum(size)])[:-1]
+    length = np.minimum(size, size - np.ceil(least * size - 1e-9).astype(np.int64) + 1)
+    return [h[a : a + k].view(np.int64).tolist() for a, k in zip(first.tolist(), length.tolist(), strict=True)], size
+
+
+def _often(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, counts) of the shingles that most often repeat in a sample of ``docs(doc_id, text)``, by hash."""
+
+    def run(batches):
+        for batch in batches:
+            data, off = binary_column(batch, "text")
+            for i, j in text_slices(off):
+                h, _ = _shingles(data[off[i] : off[j]], off[i : j + 1] - off[i])
+                h, k = np.unique(h, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(k)], ["h", "k"])
+
+    total = docs.count()
+    some = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < (1 << 20) * min(1.0, SAMPLE / max(total, 1)))
+    found = some.select("text").mapInArrow(lean(run), "h long, k long").groupBy("h").agg(F.sum("k").alias("k")).where("k > 2").orderBy(F.desc("k"), "h").limit(OFTEN)
+    got = found.toPandas()
+    h, k = got["h"].to_numpy(np.int64).view(np.uint64), got["k"].to_numpy(np.int64)
+    order = np.argsort(h)
+    return h[order], k[order]
+
+
 def features(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(fingerprints as (n, 10) ints of 24 bits, sketches (n, BINS) uint8 with 0 for empty bins) of concatenated texts."""
     n = len(off) - 1
@@ -129,7 +185,7 @@ def features(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     values, sketch = np.zeros((n, SEGMENTS), np.int64), np.zeros((n, BINS), np.uint8)
     if not len(tok):
         return values, sketch
-    h, own = _grams(tok, toff, 2)
+    h, own = _distinct(*_grams(tok, toff, 2))
     texts, first = np.unique(own, return_index=True)
     count = np.diff(np.append(first, len(own)))
     for c in range(0, 4):
@@ -156,25 +212,31 @@ def similarity(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where(used > 0, ((a == b) & (a > 0)).sum(1) / np.maximum(used, 1), 1.0)
 
 
-def _sketched(docs: DataFrame) -> DataFrame:
+def _sketched(docs: DataFrame, least: float) -> DataFrame:
+    small_batches(docs.sparkSession)
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    often, times = _often(base)
+
     def run(batches):
         import xxhash
 
         for batch in batches:
             data, off = binary_column(batch, "text")
-            values, sketches, keys = [], [], []
+            values, sketches, keys, heads, sizes = [], [], [], [], []
             for i, j in text_slices(off):
                 v, s = features(data[off[i] : off[j]], off[i : j + 1] - off[i])
                 values.append(v)
                 sketches.append(s)
+                head, size = prefixes(data[off[i] : off[j]], off[i : j + 1] - off[i], often, times, least)
+                heads += head
+                sizes += size.tolist()
             for a, b in zip(off[:-1], off[1:], strict=True):
                 keys.append(xxhash.xxh3_128_digest(b" ".join(data[a:b].tobytes().lower().split())))
             v = np.concatenate(values) if values else np.zeros((0, SEGMENTS), np.int64)
             s = np.concatenate(sketches) if sketches else np.zeros((0, BINS), np.uint8)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(v.astype(np.int32).tolist(), pa.list_(pa.int32())), pa.array([x.tobytes() for x in s], pa.binary())], ["doc_id", "same", "values", "sketch"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(v.astype(np.int32).tolist(), pa.list_(pa.int32())), pa.array([x.tobytes() for x in s], pa.binary()), pa.array(heads, pa.list_(pa.int64())), pa.array(sizes, pa.int64())], ["doc_id", "same", "values", "sketch", "head", "size"])
 
-    small_batches(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(lean(run), "doc_id long, same binary, values array<int>, sketch binary")
+    return base.mapInArrow(lean(run), "doc_id long, same binary, values array<int>, sketch binary, head array<long>, size long")
 
 
 def _shingle_sets(rows: DataFrame) -> DataFrame:
@@ -196,10 +258,9 @@ def _shingle_sets(rows: DataFrame) -> DataFrame:
 
 
 def _scored(found: DataFrame, classes: DataFrame, least: float) -> DataFrame:
-    """(a, b, sure) of the pairs that the complete distance and the sketches leave."""
-    side = lambda x: classes.select(F.col("rep").alias(x), F.col("values").alias(f"v{x}"), F.col("sketch").alias(f"s{x}"))
-    distance = F.aggregate(F.zip_with("va", "vb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, x: acc + x)
-    near = found.join(side("a"), "a").join(side("b"), "b").where(distance <= FAR)
+    """(a, b, sure) of the pairs that the sketches leave."""
+    side = lambda x: classes.select(F.col("rep").alias(x), F.col("sketch").alias(f"s{x}"))
+    near = found.join(side("a"), "a").join(side("b"), "b")
 
     def verify(batches):
         for batch in batches:
@@ -207,8 +268,9 @@ def _scored(found: DataFrame, classes: DataFrame, least: float) -> DataFrame:
                 continue
             a, b = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, BINS) for k in (2, 3))
             guess = similarity(a, b)
-            keep = pa.array(guess >= least - MARGIN)
-            yield pa.RecordBatch.from_arrays([c.filter(keep) for c in [*batch.columns[:2], pa.array(guess >= least + MARGIN)]], ["a", "b", "sure"])
+            margin = ERRORS * np.sqrt(least * (1 - least) / np.maximum(((a > 0) | (b > 0)).sum(1), 1))
+            keep = pa.array(guess >= least - margin)
+            yield pa.RecordBatch.from_arrays([c.filter(keep) for c in [*batch.columns[:2], pa.array(guess >= least + margin)]], ["a", "b", "sure"])
 
     return near.select("a", "b", "sa", "sb").mapInArrow(lean(verify), "a long, b long, sure boolean")
 
@@ -235,26 +297,30 @@ def _decided(scored: DataFrame, docs: DataFrame, least: float) -> DataFrame:
 
 
 def near_components(docs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
-    """(node, component) of the links among ``classes(rep, values, sketch)`` of distinct texts."""
+    """(node, component) of the links among ``classes(rep, values, sketch, head, size)`` of distinct texts."""
     key = lambda i, x: F.lit(i).cast("long") * (1 << BITS) + x.cast("long")
-    masks = F.array(F.lit(0), *[F.lit(1 << i) for i in range(BITS)])
     value = lambda i: F.element_at("values", i + 1)
-    ball = lambda i: F.transform(masks, lambda m: key(i, value(i).bitwiseXOR(m)))
     after = F.array(*[F.shiftleft(value((i + 1) % SEGMENTS).cast("long"), BITS).bitwiseOR(value((i + 2) % SEGMENTS).cast("long")) for i in range(SEGMENTS)])
     # the number of the segment is in the key's upper bits
-    next_bits = lambda k: F.element_at("after", (F.shiftright(k, BITS) + 1).cast("int"))
-    near = F.bit_count(F.col("na").bitwiseXOR(F.col("nb"))) <= FAR_NEXT
-    table = classes.select(F.col("rep").alias("b"), after.alias("after"), F.explode(F.array(*[key(i, value(i)) for i in range(SEGMENTS)])).alias("key")).select("key", "b", next_bits(F.col("key")).alias("nb"))
-    ask = classes.select(F.col("rep").alias("a"), after.alias("after"), F.explode(F.concat(*[ball(i) for i in range(SEGMENTS)])).alias("key")).select("key", "a", next_bits(F.col("key")).alias("na"))
-    buckets = materialise(table.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "buckets")
-    few = table.join(buckets.where(F.col("n") <= PAIRS).select("key"), "key")
-    # a ball meets a value if and only if the ball of that value meets back: each pair need only be asked from its smaller side
-    found = ask.join(few, "key").where((F.col("a") < F.col("b")) & near).select("a", "b")
-    large = materialise(buckets.where(F.col("n") > PAIRS), "large")
+    next_bits = F.element_at("after", (F.shiftright("key", BITS) + 1).cast("int"))
+    segments = classes.select("rep", after.alias("after"), F.explode(F.array(*[key(i, value(i)) for i in range(SEGMENTS)])).alias("key")).select("key", "rep", next_bits.alias("more"))
+    # keys of the prefixes are negative; what travels with them is the size of the set, and how much of it is left in the order
+    heads = classes.select("rep", "size", F.posexplode("head").alias("at", "h"))
+    heads = heads.select(F.col("h").bitwiseOR(F.lit(-(1 << 63)).cast("long")).alias("key"), "rep", F.shiftleft("size", 32).bitwiseOR(F.col("size") - F.col("at")).alias("more"))
+    low = lambda x: x.bitwiseAND(F.lit((1 << 32) - 1).cast("long"))
+    # from the first shingle they share on, two sets have no more in common than the smaller rest
+    enough = F.least(low(F.col("na")), low(F.col("nb"))) * (1 + least) >= (F.shiftright("na", 32) + F.shiftright("nb", 32)) * least - 1e-6
+    near = F.when(F.col("key") < 0, enough).otherwise(F.bit_count(F.col("na").bitwiseXOR(F.col("nb"))) <= FAR_NEXT)
+    table = segments.unionByName(heads)
+    buckets = materialise(table.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
+    shared = materialise(table.join(buckets, "key"), "shared")
+    few, large = shared.where(F.col("n") <= PAIRS), shared.where(F.col("n") > PAIRS)
+    ask = few.select("key", F.col("rep").alias("a"), F.col("more").alias("na"))
+    found = ask.join(few.select("key", F.col("rep").alias("b"), F.col("more").alias("nb")), "key").where((F.col("a") < F.col("b")) & near).select("a", "b")
     shares = F.greatest(F.lit(1), F.ceil(F.col("n") / SHARE)).cast("int")
     # a document that leads one bucket leads the others of its size too, so that its group meets few leaders in all
-    members = materialise(table.join(large, "key").select("key", "b", "nb", "n", F.floor(F.shiftrightunsigned(F.xxhash64("b"), 11) / F.lit(float(1 << 53)) * F.col("n")).alias("turn")), "members")
-    askers = materialise(ask.join(large, "key").select("key", "a", "na", F.pmod(F.xxhash64("a"), shares).cast("int").alias("share")), "askers")
+    members = materialise(large.select("key", F.col("rep").alias("b"), F.col("more").alias("nb"), "n", F.floor(F.shiftrightunsigned(F.xxhash64("rep"), 11) / F.lit(float(1 << 53)) * F.col("n")).alias("turn")), "members")
+    askers = materialise(large.select("key", F.col("rep").alias("a"), F.col("more").alias("na"), F.pmod(F.xxhash64("rep"), shares).cast("int").alias("share")), "askers")
     links = comp = None
     done = 0
     for until in LEADERS:
@@ -281,8 +347,8 @@ def near_components(docs: DataFrame, classes: DataFrame, least: float) -> DataFr
 
 def near_groups(docs: DataFrame, least: float = 0.8) -> DataFrame:
     """(doc_id, component_id) by links of similarity ``least`` or more between sets of five-word shingles."""
-    rows = materialise(_sketched(docs), "sketched")
-    classes = materialise(rows.groupBy("same").agg(F.min("doc_id").alias("rep"), F.first("values").alias("values"), F.first("sketch").alias("sketch")), "classes")
+    rows = materialise(_sketched(docs, least), "sketched")
+    classes = materialise(rows.groupBy("same").agg(F.min("doc_id").alias("rep"), F.first("values").alias("values"), F.first("sketch").alias("sketch"), F.first("head").alias("head"), F.first("size").alias("size")), "classes")
     comp = near_components(docs, classes, least)
     table = materialise(classes.select("same", "rep").join(comp, F.col("rep") == comp["node"], "left").select("same", F.coalesce("component", "rep").alias("component_id")), "groups")
     return rows.select("doc_id", "same").join(table, "same").select("doc_id", "component_id")

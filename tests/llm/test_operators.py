@@ -162,6 +162,26 @@ def test_large_buckets_lose_no_group(spark, monkeypatch):
     assert groups() == whole
 
 
+def test_near_groups_find_repeated_lines_and_inserted_blocks(spark, monkeypatch):
+    """Copies whose set of shingles is near, though their words are repeated, or edited in one block, are those of all pairs."""
+    rows = []
+    for _ in range(6):
+        base, line = prose(400), prose(12)
+        words = base.split()
+        for text in (f"{base} {line}", f"{base} {' '.join([line] * 20)}", f"{' '.join([line] * 60)} {base}", f"{base} {prose(60)}", f"{' '.join(words[:200])} {prose(90)} {' '.join(words[200:])}", " ".join(words[:330])):
+            rows.append((len(rows), text))
+    rows += [(len(rows) + i, t) for i, t in enumerate(["a b c d e f g h", "a b c d e f g h i", "x y", "x y z", " ".join("klmnopqrstuvwx"), " ".join("klmnopqrstuvwxy")])]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (t.split() for _, t in rows)]
+    near = [(i, j) for i in range(len(sets)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    groups = lambda: {r.doc_id: r.component_id for r in simhash_dedup.near_groups(df).collect()}
+    want = brute_components(range(len(rows)), near)
+    assert near and groups() == want
+    monkeypatch.setattr(simhash_dedup, "PAIRS", 1)
+    monkeypatch.setattr(simhash_dedup, "LEADERS", (1, None))
+    assert groups() == want
+
+
 def test_bpe_is_the_public_library(docs):
     from tokenizers import Tokenizer
 
