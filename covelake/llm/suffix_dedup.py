@@ -404,17 +404,26 @@ def cut_texts(with_text: bool):
     return run
 
 
+def _with_sid(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with _sid, a key of each row in the order of ids and texts: the id itself where ids are distinct and none is null."""
+    key = F.col(id_col).cast("long")
+    if docs.groupBy(key.alias("id")).count().where("count > 1 or id is null").isEmpty():
+        return docs.withColumn("_sid", key)
+    return materialise(docs.orderBy(key, F.col(text_col).cast("string")).withColumn("_sid", F.monotonically_increasing_id()), "ordered")
+
+
 def suffix_dedup(docs: DataFrame, min_len: int = 100, with_text: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and kept_text: the rest, without broken characters)."""
+    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return _cleaned(_with_sid(base), min_len, with_text).drop("sid")
+
+
+def _cleaned(docs: DataFrame, min_len: int, with_text: bool) -> DataFrame:
+    """The rows of ``suffix_dedup`` with their sid, of ``docs(_sid, doc_id, text)``."""
     if min_len <= ANCHOR + 1:
         raise ValueError(f"min_len must exceed {ANCHOR + 1}")
     small_batches(docs.sparkSession)
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    twice = base.groupBy("doc_id").count().where("count > 1 or doc_id is null")
-    if twice.isEmpty():
-        base = base.select(F.col("doc_id").alias("sid"), "doc_id", "text")
-    else:  # order rows that share an id
-        base = materialise(base.orderBy("doc_id", "text").withColumn("sid", F.monotonically_increasing_id()).select("sid", "doc_id", "text"), "ordered")
+    base = docs.select(F.col("_sid").alias("sid"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     n = partitions_for(base)
     found = base.select("sid", "text").mapInArrow(lean(send_groups(n, min_len)), MOVED)
     found = materialise(found.repartition(n, "key").mapInArrow(lean(match_groups(n, min_len)), MOVED), "groups")
@@ -422,16 +431,15 @@ def suffix_dedup(docs: DataFrame, min_len: int = 100, with_text: bool = False, i
     edges = texts.union(found.where(f"kind = {EDGE}")).repartition(n, "key").mapInArrow(lean(send_windows(n, min_len)), MOVED)
     more = materialise(edges.repartition(n, "key").mapInArrow(lean(match_windows(n, min_len)), MOVED), "windows")
     removed = found.where(f"kind = {REMOVED}").union(more)
-    got = texts.union(removed).repartition(n, "key").mapInArrow(lean(cut_texts(with_text)), RESULT + ", kept_text string" * with_text)
-    return got.drop("sid")
+    return texts.union(removed).repartition(n, "key").mapInArrow(lean(cut_texts(with_text)), RESULT + ", kept_text string" * with_text)
 
 
 def drop_repeats(docs: DataFrame, min_len: int = 100) -> DataFrame:
     """The documents with repeated passages taken out of their texts; those left blank are dropped. Columns unchanged.
 
-    Expects distinct doc_ids (rows that share one are first told apart, and each is cleaned).
+    Rows without a doc_id and rows that share one are told apart by a key of their own: each is cleaned and keeps its columns.
     """
-    got = suffix_dedup(docs, min_len, with_text=True).select("doc_id", "n_removed", "kept_text")
-    rest = [c for c in docs.columns if c != "text"]
-    joined = docs.select(*rest).join(got, "doc_id").where("n_removed = 0 or trim(kept_text) <> ''")
+    rows = _with_sid(docs)
+    got = _cleaned(rows, min_len, with_text=True).select(F.col("sid").alias("_sid"), "n_removed", "kept_text")
+    joined = rows.drop("text").join(got, "_sid").where("n_removed = 0 or trim(kept_text) <> ''")
     return joined.withColumn("text", F.col("kept_text")).select(docs.columns)

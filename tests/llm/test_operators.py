@@ -69,6 +69,19 @@ def test_levels_and_pieces():
     assert sum(g[4].sum() for s, e, w, _, _ in suffix_dedup.pieces(np.array([0, len(text)]), 100) for g in [suffix_dedup.groups(text[s:e], w, 100)]) == len(text) - 99
 
 
+def test_drop_repeats_keeps_each_row(spark):
+    """Rows without a doc_id stay, and rows that share one keep their own columns, once each."""
+    shared = prose(60)
+    rows = [(None, f"{shared} one", "a"), (None, "no id either", "b"), (5, f"five {shared}", "c"), (5, "other five", "d"), (5, "third five", "e"), (6, shared, "f"), (7, "plain", "g")]
+    got = suffix_dedup.drop_repeats(spark.createDataFrame(rows, "doc_id long, text string, tag string"))
+    assert got.columns == ["doc_id", "text", "tag"]
+    got = {(r.doc_id, r.tag): r.text for r in got.collect()}
+    assert set(got) == {(d, t) for d, _, t in rows if t != "f"} and len(got) == 6  # the sixth repeats the first as a whole
+    assert all(got[d, t] == x for d, x, t in rows if t in "abdeg") and got[5, "c"].startswith("five") and shared[:100] not in got[5, "c"]
+    one = suffix_dedup.drop_repeats(spark.createDataFrame(rows[3:4] + rows[5:], "doc_id long, text string, tag string"))
+    assert sorted((r.doc_id, r.tag, r.text) for r in one.collect()) == [(5, "d", "other five"), (6, "f", shared), (7, "g", "plain")]
+
+
 def brute_components(ids, linked):
     best = {i: i for i in ids}
     changed = True
