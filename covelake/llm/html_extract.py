@@ -6,8 +6,8 @@ class, id and role), or ``open``. Pages with main text yield its blocks.
 
 Boilerplate that no markup betrays is found by the host: the token streams of all blocks outside main text
 are taken together for each host, suffixes of ``RUN`` tokens are brought into one order (by fingerprint, dealt by
-it, counted before they are shuffled, so a large host is no hot key), and a run that stands on two distinct pages
-is repeated. Pages without main text yield their open blocks without the blocks that repeated runs cover
+it, counted before they are shuffled, so a large host is no hot key), and a run that stands on two pages with
+distinct contents is repeated (copies of a page count once). Pages without main text yield their open blocks without the blocks that repeated runs cover
 wholly, and without covered runs at blocks' edges; unique runs stay. Main text is never judged by repetition:
 copies of an article are articles.
 
@@ -161,13 +161,15 @@ def _prints(host: str, stream: list[str]) -> list[int]:
     return [xxhash.xxh64_intdigest(key + " ".join(stream[i : i + RUN]), 17) - (1 << 63) for i in range(max(1, len(stream) - RUN + 1))]
 
 
-PARSED = "rid long, page_id long, url string, main string, rest array<string>, prints array<long>"
+PARSED = "rid long, page_id long, url string, main string, rest array<string>, prints array<long>, content long"
 
 
 def _parse(batches):
+    import xxhash
+
     rid = TaskContext.get().partitionId() << 36
     for batch in batches:
-        cols: list[list] = [[], [], [], []]
+        cols: list[list] = [[], [], [], [], []]
         for url, page in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
             got = blocks(page or "")
             text = [t for z, t in got if z == "main"]
@@ -175,11 +177,13 @@ def _parse(batches):
             cols[0].append(rid)
             cols[1].append("\n".join(text) if text else None)
             cols[2].append(None if text else [t for z, t in got if z == "open"])
-            cols[3].append(_prints(_host(url), _runs(outside if text else [t for z, t in got if z == "open"])[0]))
+            stream = _runs(outside if text else [t for z, t in got if z == "open"])[0]
+            cols[3].append(_prints(_host(url), stream))
+            cols[4].append(xxhash.xxh64_intdigest(" ".join(stream), 17) - (1 << 63))
             rid += 1
         yield pa.RecordBatch.from_arrays(
-            [pa.array(cols[0], pa.int64()), batch.column(0), batch.column(1), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.list_(pa.string())), pa.array(cols[3], pa.list_(pa.int64()))],
-            ["rid", "page_id", "url", "main", "rest", "prints"],
+            [pa.array(cols[0], pa.int64()), batch.column(0), batch.column(1), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.list_(pa.string())), pa.array(cols[3], pa.list_(pa.int64())), pa.array(cols[4], pa.int64())],
+            ["rid", "page_id", "url", "main", "rest", "prints", "content"],
         )
 
 
@@ -214,7 +218,7 @@ def main_texts(pages: DataFrame) -> DataFrame:
     base = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     parsed = materialise(base.mapInArrow(lean(_parse), PARSED), "parsed")
     asks = parsed.where("main is null").select("rid", F.posexplode("prints").alias("at", "print"))
-    seen = parsed.select("rid", F.explode("prints").alias("print")).groupBy("print").agg(F.min("rid").alias("lo"), F.max("rid").alias("hi"))
+    seen = parsed.select("content", F.explode("prints").alias("print")).groupBy("print").agg(F.min("content").alias("lo"), F.max("content").alias("hi"))
     twice = materialise(seen.where("lo <> hi").select("print"), "repeated")
     hits = asks.join(twice, "print").groupBy("rid").agg(F.collect_list("at").alias("hits"))
     schema = "page_id long, url string, text string, n_chars long"

@@ -251,6 +251,15 @@ def test_main_text(spark):
     assert got == [(i, t, len(t)) for i, t in [(1, "T & x\nOne two three\nFour"), (2, ""), (3, ""), (4, "first body"), (5, "second body"), (6, "text only"), (6, "unclosed")]]
 
 
+def test_copies_of_a_page_are_no_repetition(spark):
+    """A page without main text that stands on a host twice keeps its text; what distinct pages share goes."""
+    menu, body = " ".join(f"menu{i}" for i in range(12)), prose(30)
+    page = lambda x: f"<body><div>{menu}</div><p>{x}</p></body>"
+    rows = [(1, "http://h/1", page(body)), (2, "http://h/2", page(body)), (2, "http://h/2", page(body)), (3, "http://k/1", page(body)), (4, "http://k/2", page(body)), (5, "http://k/3", page("other body"))]
+    got = sorted((r.page_id, r.text) for r in html_extract.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect())
+    assert got == [(1, f"{menu}\n{body}"), (2, f"{menu}\n{body}"), (2, f"{menu}\n{body}"), (3, body), (4, body), (5, "other body")]
+
+
 def test_main_text_of_test_pages(spark):
     pages = spark.read.parquet(f"{DATA}/pages.parquet")
     got = {r.page_id: r.text for r in html_extract.main_texts(pages).collect()}
