@@ -10,7 +10,7 @@ from covelake.operators import history, ml, quality, reconcile, relational
 from covelake.plans import catalogue, graph, guard
 from covelake.sources import landing
 from covelake.sources.storage import Lake
-from covelake.streaming import job
+from covelake.streaming import job, windows
 
 DATA = "/root/testdata/sf0.001"
 DAY = dt.date
@@ -94,6 +94,35 @@ def test_stream_dedup_late_alert_once(spark, tmp_path):
     assert lake.read("stream/windows").agg(F.sum("n_declared")).first()[0] == 4 and lake.read("stream/alerts").count() == 1
 
 
+def test_late_judges_every_event(spark):
+    """All events of the test stream, none left out, against a plain loop; no task gets them all."""
+    rows = windows.first_by_id(windows.sample_stream(spark, DATA))
+    judged = windows.late(rows)
+    top, want = None, {}
+    for r in sorted(rows.collect(), key=lambda r: (abs(r.event_id), -r.event_id)):
+        want[r.event_id] = top is not None and r.ts < top - dt.timedelta(minutes=30)
+        if r.event_id > 0:
+            top = r.ts if top is None else max(top, r.ts)
+    assert {r.event_id: r.late for r in judged.collect()} == want and any(want.values()) and not all(want.values())
+    assert judged.columns == [*rows.columns, "late"]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert judged.groupBy("late", F.spark_partition_id().alias("task")).count().select("task").distinct().count() > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert windows.late(rows.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("name", ["late_events", "late_events_all"])
+def test_late_matches_duckdb(spark, name):
+    con = duckdb.connect()
+    for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"):
+        con.execute(f"create view {t} as select * from '{DATA}/{t}.parquet'")
+    got = sorted(tuple(r) for r in catalogue.QUERIES[name](spark, DATA).select("event_id", "late").collect())
+    assert got == sorted(con.execute(f"select event_id, late from ({catalogue.ORACLES[name]})").fetchall())
+
+
+
 @pytest.mark.parametrize("sql", ["select 1; select 2", "drop table t", "insert into t values (1)", "select * from other", "select * from parquet.`/tmp/x`", "select java_method('a', 'b')", "set a=b", "select * from range(3)", "describe t", "with x as (select 1) select * from y"])
 def test_guard_refuses(spark, sql):
     with pytest.raises(guard.Refused):
