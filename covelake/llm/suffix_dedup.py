@@ -1,27 +1,29 @@
-"""Removal of long repeated passages with a logarithmic family of suffix indexes.
+"""Removal of long repeated passages with a logarithmic family of suffix arrays.
 
 Every byte under a string of ``min_len`` = 100 bytes that also starts earlier (in a document with a smaller
 doc_id, or earlier in the same one) is removed. All texts are UTF-8 bytes; matches never cross documents.
 
-Suffixes count by their first ``min_len`` bytes only. A suffix array of a batch is its array of suffixes in
-the order of a 128-bit fingerprint of those bytes: any total order brings equal prefixes together, and this
-one needs no byte comparisons. ``Levels`` keeps such arrays of earlier batches; a new batch is sorted, scanned
-against every level for matches, and added, and levels of equal size merge, so there are at most log2(n).
+``Family`` keeps suffix arrays, i.e. windows in the lexicographic order of their ``min_len`` bytes, of geometric
+sizes: a new batch of windows is sorted, merge-scanned against every level for windows as long as a match, and added;
+levels of equal size merge, so there are at most log2(n).
 
-The suffixes of a corpus are too many to move, so they travel in groups. In every window of ``min_len`` bytes
-the K-byte string with the least hash is the window's anchor: equal windows have equal anchors. Neighbouring
-windows with the same anchor form one group, and what is shuffled is
+The windows of a corpus are too many to sort at one place, and most need no comparison, so they travel in groups. In
+every window the K-byte string with the least hash is the window's anchor: equal windows have equal anchors.
+Neighbouring windows with the same anchor form one group.
 
-1. a pair (anchor, content of the group) for each group: the index finds groups that repeat one as a whole;
-2. single windows, only for groups whose anchor occurs with other contents as well, i.e. at the edges of
-   repeated passages.
+1. A pair (anchor, content of the group) is shuffled for each group, dealt by anchor: groups that repeat one as a whole
+   go. A hot passage is reduced in every task before it is shuffled: only its first place in the task travels.
+2. What is left are distinct contents. Those whose anchor occurs with other contents as well, i.e. the edges of repeated
+   passages, send their bytes, dealt by anchor again, and the family of the task finds their repeated windows.
 
-A hot passage is reduced in every task before it is shuffled (only its first place in the task travels), and
-single windows are dealt by their own fingerprint, so that no task gets all places of a passage.
+Strings that anchor many contents (a stub of a license in ever new surroundings) would deal a large part of the corpus to
+one task. Those often met in a sample come last in the choice of anchors, so windows that hold any other string are dealt
+by that; only windows of nothing but such strings, i.e. of one common passage, keep them.
 
 Edge cases: null and empty texts are rows with nothing removed; texts under ``min_len`` bytes are never
 touched; texts of any length are processed in pieces; rows that share a doc_id are ordered by text, each
-keeps its own row, and rows without doc_id come first; extra columns are ignored.
+keeps its own row, and rows without doc_id come first; an empty table yields no rows; extra columns are ignored,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -33,62 +35,105 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from covelake.llm.common import binary_column, bucket_keys, lean, materialise, partitions_for, small_batches, text_slices
+from covelake.llm.common import binary_column, bucket_keys, fresh, lean, materialise, partitions_for, small_batches, text_slices
 from covelake.llm.kernels import Prefix, mix, sliding_min
 
 U64 = np.uint64
 ANCHOR = 32
 PIECE = 1 << 19
-#: Groups that a task gathers before it reduces and sends them.
-FLUSH = 3_000_000
+#: Groups that a task gathers before it reduces and sends them; bytes of edges that it gathers before it sends them.
+FLUSH, EDGE_FLUSH = 400_000, 8 << 20
+#: Documents of the sample in which anchors are counted, contents from which on an anchor counts as often met, and how many of those are kept.
+SAMPLE, OFTEN, OFTEN_KEPT = 4000, 16, 100_000
 MOVED = "key int, kind int, blob binary"
-GROUP, REMOVED, EDGE, TEXT, WINDOW = range(5)
-
-
-class Levels:
-    """Sorted fingerprint arrays of geometric sizes: has an equal suffix come in an earlier batch?"""
-
-    def __init__(self):
-        self.levels: list[tuple[np.ndarray, np.ndarray]] = []
-
-    def scan(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Which of the fingerprints (a, b) stand in a level."""
-        found = np.zeros(len(a), bool)
-        for la, lb in self.levels:
-            at = np.searchsorted(la, a, "left")
-            live = np.arange(len(a))
-            while len(live):
-                inside = live[at[live] < len(la)]
-                live = inside[la[at[inside]] == a[inside]]
-                found[live[lb[at[live]] == b[live]]] = True
-                at[live] += 1
+GROUP, REMOVED, EDGE, TEXT, BYTES = range(5)
+
+
+class Family:
+    """Suffix arrays of geometric sizes over windows of ``size`` bytes of one buffer: has an equal window come earlier?"""
+
+    def __init__(self, data: np.ndarray, size: int):
+        self.word = np.zeros(len(data), U64)  # the eight bytes from every place; words compare as bytes do
+        padded = np.concatenate([data, np.zeros(8, np.uint8)])
+        for k in range(8):
+            self.word = (self.word << U64(8)) | padded[k : k + len(data)]
+        self.steps = [*range(0, size - 8, 8), size - 8]
+        self.levels: list[np.ndarray] = []
+
+    def sort(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The suffix array of the windows ``at``, and which of them differ from the one before; equal ones keep their order."""
+        order = at[np.argsort(self.word[at], kind="stable")]
+        head = np.ones(len(order), bool)
+        head[1:] = np.diff(self.word[order]) != 0
+        for step in self.steps[1:]:
+            tied = ~head
+            tied[:-1] |= ~head[1:]
+            live = np.flatnonzero(tied)
+            if not len(live):
+                break
+            run, word = np.cumsum(head)[live], self.word[order[live] + step]
+            inner = np.lexsort((word, run))
+            order[live], word = order[live][inner], word[inner]
+            new = np.ones(len(live), bool)
+            new[1:] = (np.diff(word) != 0) | (np.diff(run) != 0)
+            head[live] |= new
+        return order, head
+
+    def _compare(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(less, equal) of the windows at ``a`` against those at ``b``."""
+        less, left = np.zeros(len(a), bool), np.arange(len(a))
+        for step in self.steps:
+            x, y = self.word[a[left] + step], self.word[b[left] + step]
+            less[left[x < y]] = True
+            left = left[x == y]
+            if not len(left):
+                break
+        equal = np.zeros(len(a), bool)
+        equal[left] = True
+        return less, equal
+
+    def lower(self, level: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Where in ``level`` the first window stands that isn't less than that at ``at``."""
+        first = self.word[level]
+        lo, hi = np.searchsorted(first, self.word[at], "left"), np.searchsorted(first, self.word[at], "right")
+        live = np.flatnonzero(lo < hi)
+        while len(live):
+            mid = (lo[live] + hi[live]) >> 1
+            less, _ = self._compare(level[mid], at[live])
+            lo[live[less]] = mid[less] + 1
+            hi[live[~less]] = mid[~less]
+            live = live[lo[live] < hi[live]]
+        return lo
+
+    def scan(self, at: np.ndarray) -> np.ndarray:
+        """Which of the sorted windows ``at`` stand in a level."""
+        found = np.zeros(len(at), bool)
+        for level in self.levels:
+            left = np.flatnonzero(~found)
+            where = self.lower(level, at[left])
+            left, where = left[where < len(level)], where[where < len(level)]
+            found[left] = self._compare(level[where], at[left])[1]
         return found
 
-    def add(self, a: np.ndarray, b: np.ndarray) -> None:
-        """A new level of distinct, sorted fingerprints; levels no larger than it merge with it."""
-        while self.levels and len(self.levels[-1][0]) <= len(a):
-            la, lb = self.levels.pop()
-            a, b = np.concatenate([la, a]), np.concatenate([lb, b])
-            order = np.lexsort((b, a))
-            a, b = a[order], b[order]
-        self.levels.append((a, b))
-
-
-def repeated(a: np.ndarray, b: np.ndarray, doc: np.ndarray, at: np.ndarray, batch: int = 1 << 18) -> np.ndarray:
-    """For every suffix: is there an equal one at an earlier (doc, at)? Batches in that order go through Levels."""
-    out = np.zeros(len(a), bool)
-    order = np.lexsort((at, doc))
-    index = Levels()
-    for i in range(0, len(order), batch):
-        part = order[i : i + batch]
-        part = part[np.lexsort((np.arange(len(part)), b[part], a[part]))]  # the batch's suffix array, earliest first among equals
-        first = np.ones(len(part), bool)
-        first[1:] = (a[part][1:] != a[part][:-1]) | (b[part][1:] != b[part][:-1])
-        old = index.scan(a[part], b[part])
-        out[part] = old | ~first
-        new = part[first & ~old]
-        index.add(a[new], b[new])
-    return out
+    def add(self, level: np.ndarray) -> None:
+        """A new level of distinct, sorted windows; levels no larger than it merge with it."""
+        while self.levels and len(self.levels[-1]) <= len(level):
+            older = self.levels.pop()
+            level = np.insert(older, self.lower(older, level), level)
+        self.levels.append(level)
+
+
+def repeated(data: np.ndarray, at: np.ndarray, size: int, batch: int = 1 << 18) -> np.ndarray:
+    """Which of the windows ``at`` of ``size`` bytes, given in order, have an equal one before them? Batches go through a Family."""
+    out, family = np.zeros(len(data), bool), Family(data, size)
+    for i in range(0, len(at), batch):
+        order, head = family.sort(at[i : i + batch])
+        out[order[~head]] = True
+        order = order[head]
+        old = family.scan(order)
+        out[order[old]] = True
+        family.add(order[~old])
+    return out[at]
 
 
 def pieces(offsets: np.ndarray, min_len: int):
@@ -104,15 +149,24 @@ def pieces(offsets: np.ndarray, min_len: int):
                     yield a + c, a + e, np.array([0, e - c]), np.array([i]), np.array([c])
 
 
-def groups(data: np.ndarray, off: np.ndarray, min_len: int):
-    """(anchor hash, content hash, text, first window, windows) of all groups of windows in concatenated texts."""
+def groups(data: np.ndarray, off: np.ndarray, min_len: int, often: np.ndarray):
+    """(anchor hash, content hash, text, first window, windows) of all groups of windows in concatenated texts.
+
+    Strings whose (sorted) hashes are in ``often`` become anchors only of windows that hold nothing else.
+    """
     n = len(data)
     none = np.zeros(0, np.int64)
     if n < min_len:
         return none.astype(U64), none.astype(U64), none, none, none
     grams = mix(Prefix(data, 7).grams(ANCHOR)) if n > ANCHOR else None
     bits = U64(21)
-    key = (grams & ~((U64(1) << bits) - U64(1))) | np.arange(len(grams), dtype=U64)
+    key = ((grams >> U64(1)) & ~((U64(1) << bits) - U64(1))) | np.arange(len(grams), dtype=U64)
+    if len(often):
+        seen = np.zeros(1 << 20, bool)
+        seen[often >> U64(44)] = True
+        maybe = np.flatnonzero(seen[grams >> U64(44)])
+        last = maybe[often[np.minimum(np.searchsorted(often, grams[maybe]), len(often) - 1)] == grams[maybe]]
+        key[last] |= U64(1 << 63)
     low = sliding_min(key, min_len - ANCHOR)
     anchor = (low & ((U64(1) << bits) - U64(1))).astype(np.int64)
     text = np.repeat(np.arange(len(off) - 1), np.diff(off))[: len(anchor)]
@@ -218,7 +272,7 @@ def _collect(batches) -> dict[int, list[bytes]]:
     return held
 
 
-def send_groups(n: int, min_len: int):
+def send_groups(n: int, min_len: int, often: np.ndarray):
     keys = bucket_keys(n)
 
     def reduce(parts):
@@ -240,12 +294,12 @@ def send_groups(n: int, min_len: int):
             data, off = binary_column(batch, "text")
             sid = np.array(batch.column(0).to_numpy(zero_copy_only=False), np.int64)
             for a, b, within, row, place in pieces(off, min_len):
-                h, s, text, lo, size = groups(data[a:b], within, min_len)
+                h, s, text, lo, size = groups(data[a:b], within, min_len, often)
                 parts.append((h, s, sid[row[text]], lo + place[text], size))
                 held += len(h)
-            if held > FLUSH:
-                yield from reduce(parts)
-                parts, held = [], 0
+                if held > FLUSH:
+                    yield from reduce(parts)
+                    parts, held = [], 0
         if held:
             yield from reduce(parts)
 
@@ -258,15 +312,18 @@ def match_groups(n: int, min_len: int):
     def rows(batches):
         held = _collect(batches)
         h, s, doc, lo, size = gather(held.get(GROUP, []), "uuiii")
-        again = repeated(h, s, doc, lo)
+        order = np.lexsort((lo, doc, s, h))
+        h, s, doc, lo, size = (c[order] for c in (h, s, doc, lo, size))
+        again = np.zeros(len(h), bool)
+        again[1:] = (h[1:] == h[:-1]) & (s[1:] == s[:-1])
         parts = gather(held.get(REMOVED, []), "iii")
         own = (doc[again], lo[again], lo[again] + size[again] + min_len - 1)
         d, a, b = merge(*(np.concatenate(c) for c in zip(parts, own, strict=True)))
         yield from rows_by_bucket(keys, doc_bucket(d, n), REMOVED, d, a, b)
         h, doc, lo, size = (c[~again] for c in (h, doc, lo, size))
-        _, back, times = np.unique(h, return_inverse=True, return_counts=True)
-        edge = np.flatnonzero(times[back] > 1)
-        yield from rows_by_bucket(keys, doc_bucket(doc[edge], n), EDGE, doc[edge], lo[edge], size[edge])
+        same = h[1:] == h[:-1]
+        edge = np.flatnonzero(np.append(same, False) | np.append(False, same)) if len(h) else np.zeros(0, np.int64)
+        yield from rows_by_bucket(keys, doc_bucket(doc[edge], n), EDGE, h[edge], doc[edge], lo[edge], size[edge])
 
     return lambda batches: batches_of(rows(batches))
 
@@ -309,63 +366,67 @@ def texts_of(blobs: list[bytes]):
             at += size
 
 
-def send_windows(n: int, min_len: int):
-    """The single windows of edge groups, by fingerprint; of those that repeat within the task only the first travels."""
-    keys = bucket_keys(n)
+def send_edges(n: int, min_len: int):
+    """The bytes of edge groups, dealt by anchor."""
+    import zstandard
 
-    def windows(texts, doc, lo, size):
-        order = np.lexsort((lo, doc))
-        doc, lo, size = doc[order], lo[order], size[order]
-        cut = np.searchsorted(doc, [sid for sid, _ in texts]), np.searchsorted(doc, [sid for sid, _ in texts], "right")
-        for (sid, text), i, j in zip(texts, *(c.tolist() for c in cut), strict=True):
-            if i == j:
-                continue
-            # bytes needed, in pieces that bound memory
-            data = np.frombuffer(text, np.uint8)
-            at = np.repeat(lo[i:j], size[i:j]) + (np.arange(int(size[i:j].sum())) - np.repeat(np.cumsum(size[i:j]) - size[i:j], size[i:j]))
-            for c in range(int(at[0]), int(at[-1]) + 1, PIECE):
-                own = at[(at >= c) & (at < c + PIECE)]
-                if len(own):
-                    part = data[c : int(own[-1]) + min_len]
-                    yield Prefix(part, 7).range(own - c, own - c + min_len), Prefix(part, 13).range(own - c, own - c + min_len), np.full(len(own), sid), own
+    keys = bucket_keys(n)
 
-    def reduce(parts):
-        a, b, doc, at = (np.concatenate(c) for c in zip(*parts, strict=True))
-        a, b = mix(a), mix(b)
-        again = repeated(a, b, doc, at)
-        d, s, e = merge(doc[again], at[again], at[again] + min_len)
-        yield from rows_by_bucket(keys, doc_bucket(d, n), REMOVED, d, s, e)
-        a, b, doc, at = (c[~again] for c in (a, b, doc, at))
-        yield from rows_by_bucket(keys, ((a >> U64(24)) % U64(n)).astype(np.int64), WINDOW, a, b, doc, at)
+    def send(held):
+        bucket = np.array([b for b, *_ in held])
+        order = np.argsort(bucket, kind="stable")
+        cut = np.searchsorted(bucket[order], np.arange(n + 1))
+        for k in np.flatnonzero(np.diff(cut)):
+            part = [held[i] for i in order[cut[k] : cut[k + 1]]]
+            head = pack(*(np.array(c, np.int64) for c in zip(*(p[1:4] for p in part), strict=True)))
+            yield int(keys[k]), BYTES, np.int64(len(head)).tobytes() + head + zstandard.compress(b"".join(p[4] for p in part), 1)
 
     def rows(batches):
         held = _collect(batches)
-        doc, lo, size = gather(held.get(EDGE, []), "iii")
-        wanted = np.unique(doc)
-        texts = sorted((sid, t) for sid, _, t in texts_of(held.pop(TEXT, [])) if len(wanted) and wanted[min(np.searchsorted(wanted, sid), len(wanted) - 1)] == sid)
-        parts, size_held = [], 0
-        for p in windows(texts, doc, lo, size):
-            parts.append(p)
-            size_held += len(p[0])
-            if size_held > FLUSH:
-                yield from reduce(parts)
-                parts, size_held = [], 0
-        if parts:
-            yield from reduce(parts)
+        h, doc, lo, size = gather(held.get(EDGE, []), "uiii")
+        order = np.lexsort((lo, doc))
+        bucket, doc, lo, size = ((h[order] >> U64(24)) % U64(n)).astype(np.int64), doc[order], lo[order], size[order]
+        out, total = [], 0
+        for sid, _, text in texts_of(held.pop(TEXT, [])):
+            i, j = np.searchsorted(doc, sid), np.searchsorted(doc, sid, "right")
+            for b, a, k in zip(bucket[i:j].tolist(), lo[i:j].tolist(), size[i:j].tolist(), strict=True):
+                out.append((b, sid, a, k, text[a : a + k + min_len - 1]))
+                total += k + min_len - 1
+                if total > EDGE_FLUSH:
+                    yield from send(out)
+                    out, total = [], 0
+        if out:
+            yield from send(out)
 
     return lambda batches: batches_of(rows(batches))
 
 
-def match_windows(n: int, min_len: int):
+def match_edges(n: int, min_len: int):
+    """Repeated windows of the edge groups of a task's anchors, by suffix arrays."""
+    import zstandard
+
     keys = bucket_keys(n)
 
     def rows(batches):
-        held = _collect(batches)
-        a, b, doc, at = gather(held.get(WINDOW, []), "uuii")
-        again = repeated(a, b, doc, at)
-        parts = gather(held.get(REMOVED, []), "iii")
-        d, s, e = merge(*(np.concatenate(c) for c in zip(parts, (doc[again], at[again], at[again] + min_len), strict=True)))
-        yield from rows_by_bucket(keys, doc_bucket(d, n), REMOVED, d, s, e)
+        heads, bodies = [], []
+        for blob in _collect(batches).get(BYTES, []):
+            k = int(np.frombuffer(blob[:8], np.int64)[0])
+            heads.append(blob[8 : 8 + k])
+            bodies.append(zstandard.decompress(blob[8 + k :]))
+        if not heads:
+            return
+        doc, lo, size = gather(heads, "iii")
+        data = np.frombuffer(b"".join(bodies), np.uint8)
+        del bodies
+        ends = np.cumsum(size + min_len - 1)
+        base = ends - (size + min_len - 1)
+        order = np.lexsort((lo, doc))
+        doc, lo, size, base = doc[order], lo[order], size[order], base[order]
+        inside = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+        again = np.flatnonzero(repeated(data, np.repeat(base, size) + inside, min_len))
+        doc, start = np.repeat(doc, size)[again], (np.repeat(lo, size) + inside)[again]
+        d, a, b = merge(doc, start, start + min_len)
+        yield from rows_by_bucket(keys, doc_bucket(d, n), REMOVED, d, a, b)
 
     return lambda batches: batches_of(rows(batches))
 
@@ -377,7 +438,7 @@ def cut_texts(with_text: bool):
     def rows(batches):
         held = _collect(batches)
         d, s, e = merge(*gather(held.get(REMOVED, []), "iii"))
-        out = []
+        out, held_bytes = [], 0
         for sid, doc, text in texts_of(held.pop(TEXT, [])):
             i, j = np.searchsorted(d, sid), np.searchsorted(d, sid, "right")
             kept, at = [], 0
@@ -388,9 +449,10 @@ def cut_texts(with_text: bool):
             rest = b"".join(kept)
             row = (sid, doc, len(text), len(text) - len(rest), int(j - i), hashlib.sha256(rest).hexdigest())
             out.append((*row, rest.decode("utf-8", errors="ignore")) if with_text else row)
-            if len(out) == 512:
+            held_bytes += len(rest) if with_text else 0
+            if len(out) == 512 or held_bytes > EDGE_FLUSH:
                 yield out
-                out = []
+                out, held_bytes = [], 0
         if out:
             yield out
 
@@ -404,32 +466,53 @@ def cut_texts(with_text: bool):
     return run
 
 
-def _with_sid(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with _sid, a key of each row in the order of ids and texts: the id itself where ids are distinct and none is null."""
-    key = F.col(id_col).cast("long")
-    if docs.groupBy(key.alias("id")).count().where("count > 1 or id is null").isEmpty():
-        return docs.withColumn("_sid", key)
-    return materialise(docs.orderBy(key, F.col(text_col).cast("string")).withColumn("_sid", F.monotonically_increasing_id()), "ordered")
+def common_anchors(base: DataFrame, min_len: int) -> np.ndarray:
+    """Sorted hashes of the strings that anchor ``OFTEN`` and more contents in a sample of ``base(sid, text)``."""
+
+    def run(batches):
+        for batch in batches:
+            data, off = binary_column(batch, "text")
+            for a, b, within, _, _ in pieces(off, min_len):
+                h, s, *_ = groups(data[a:b], within, min_len, np.zeros(0, U64))
+                order = np.lexsort((s, h))
+                h, s = h[order], s[order]
+                new = np.ones(len(h), bool)
+                new[1:] = (h[1:] != h[:-1]) | (s[1:] != s[:-1])
+                h, k = np.unique(h[new], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(h[k > 1].view(np.int64)), pa.array(k[k > 1])], ["h", "k"])
+
+    total = base.count()
+    some = base.where(F.pmod(F.xxhash64("sid"), F.lit(1 << 20)) < (1 << 20) * min(1.0, SAMPLE / max(total, 1)))
+    found = some.select("text").mapInArrow(lean(run), "h long, k long").groupBy("h").agg(F.sum("k").alias("k")).where(f"k >= {OFTEN}").orderBy(F.desc("k"), "h").limit(OFTEN_KEPT)
+    return np.sort(found.toPandas()["h"].to_numpy(np.int64).view(U64))
+
+
+def _with_sid(docs: DataFrame, sid: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with ``sid``, a key of each row in the order of ids and texts: the id itself where ids are distinct and none is null."""
+    key = docs[id_col].cast("long")
+    if docs.select(key.alias("id")).groupBy("id").count().where("count > 1 or id is null").isEmpty():
+        return docs.withColumn(sid, key)
+    return materialise(docs.orderBy(key, docs[text_col].cast("string")).withColumn(sid, F.monotonically_increasing_id()), "ordered")
 
 
 def suffix_dedup(docs: DataFrame, min_len: int = 100, with_text: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and kept_text: the rest, without broken characters)."""
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return _cleaned(_with_sid(base), min_len, with_text).drop("sid")
+    return _cleaned(_with_sid(base, "sid"), min_len, with_text).drop("sid")
 
 
-def _cleaned(docs: DataFrame, min_len: int, with_text: bool) -> DataFrame:
-    """The rows of ``suffix_dedup`` with their sid, of ``docs(_sid, doc_id, text)``."""
+def _cleaned(base: DataFrame, min_len: int, with_text: bool) -> DataFrame:
+    """The rows of ``suffix_dedup`` with their sid, of ``base(sid, doc_id, text)``."""
     if min_len <= ANCHOR + 1:
         raise ValueError(f"min_len must exceed {ANCHOR + 1}")
-    small_batches(docs.sparkSession)
-    base = docs.select(F.col("_sid").alias("sid"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    small_batches(base.sparkSession)
     n = partitions_for(base)
-    found = base.select("sid", "text").mapInArrow(lean(send_groups(n, min_len)), MOVED)
+    often = common_anchors(base, min_len)
+    found = base.select("sid", "text").mapInArrow(lean(send_groups(n, min_len, often)), MOVED)
     found = materialise(found.repartition(n, "key").mapInArrow(lean(match_groups(n, min_len)), MOVED), "groups")
     texts = base.select("sid", "doc_id", "text").mapInArrow(lean(send_texts(n)), MOVED)
-    edges = texts.union(found.where(f"kind = {EDGE}")).repartition(n, "key").mapInArrow(lean(send_windows(n, min_len)), MOVED)
-    more = materialise(edges.repartition(n, "key").mapInArrow(lean(match_windows(n, min_len)), MOVED), "windows")
+    edges = texts.union(found.where(f"kind = {EDGE}")).repartition(n, "key").mapInArrow(lean(send_edges(n, min_len)), MOVED)
+    more = materialise(edges.repartition(n, "key").mapInArrow(lean(match_edges(n, min_len)), MOVED), "windows")
     removed = found.where(f"kind = {REMOVED}").union(more)
     return texts.union(removed).repartition(n, "key").mapInArrow(lean(cut_texts(with_text)), RESULT + ", kept_text string" * with_text)
 
@@ -439,7 +522,9 @@ def drop_repeats(docs: DataFrame, min_len: int = 100) -> DataFrame:
 
     Rows without a doc_id and rows that share one are told apart by a key of their own: each is cleaned and keeps its columns.
     """
-    rows = _with_sid(docs)
-    got = _cleaned(rows, min_len, with_text=True).select(F.col("sid").alias("_sid"), "n_removed", "kept_text")
-    joined = rows.drop("text").join(got, "_sid").where("n_removed = 0 or trim(kept_text) <> ''")
-    return joined.withColumn("text", F.col("kept_text")).select(docs.columns)
+    key, gone, kept = (fresh(docs, x) for x in ("sid", "n_removed", "kept_text"))
+    rows = _with_sid(docs, key)
+    base = rows.select(F.col(key).alias("sid"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    got = _cleaned(base, min_len, with_text=True).select(F.col("sid").alias(key), F.col("n_removed").alias(gone), F.col("kept_text").alias(kept))
+    joined = rows.drop("text").join(got, key).where((F.col(gone) == 0) | (F.trim(kept) != ""))
+    return joined.withColumn("text", F.col(kept)).select(*[F.col(f"`{c}`") for c in docs.columns])
