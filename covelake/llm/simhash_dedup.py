@@ -91,7 +91,9 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", te
 # hash); sets of n shingles that share ``least`` of their union share one of their first n - ceil(least * n) + 1, so this
 # way loses no pair, however its copies were edited. What is met is verified by the similarity of shingle sets.
 
-SEGMENTS, BITS, BINS = 10, 24, 256
+SEGMENTS, BITS = 10, 24
+#: Sets up to SMALL shingles are sketched by all their hashes, cut to 16 bits; larger ones by one byte for each of BINS bins.
+SMALL, BINS = 256, 512
 #: Buckets up to PAIRS members compare all pairs at once. Larger ones go in rounds: up to LEADERS[i] members of a bucket
 #: meet everyone, then groups are formed, and only members of different groups go on; the last round takes all that is
 #: left. A pair that no round compares is in one group already, so groups are those of all pairs.
@@ -100,8 +102,9 @@ PAIRS, LEADERS = 32, (4, 64, None)
 SHARE = 256
 #: Bits of the two segments after the one that met that may differ (the lookup itself compares them; expected 5 to 7, 24 if unrelated).
 FAR_NEXT = 17
-#: Standard errors of a sketch around the asked similarity in which it doesn't decide but whole shingle sets do.
-ERRORS = 5
+#: Standard errors of a sketch of bins, and chance collisions of a sketch of hashes (first: in unions below 64), around
+#: the asked similarity in which it doesn't decide but whole shingle sets do.
+ERRORS, COLLISIONS = 5, (3, 6)
 #: Documents of the sample from which often met shingles are learnt, and how many of those are kept. They only move shingles in the order.
 SAMPLE, OFTEN = 20_000, 200_000
 
@@ -139,10 +142,8 @@ def _shingles(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return _distinct(*_grams(mix(Prefix(low).range(start, end)), np.concatenate([[0], np.cumsum(size)]).astype(np.int64), 5))
 
 
-def prefixes(data: np.ndarray, off: np.ndarray, often: np.ndarray, times: np.ndarray, least: float) -> tuple[list[list[int]], np.ndarray]:
-    """(prefixes, set sizes) of concatenated texts: the first shingles in the order that all documents share."""
-    n = len(off) - 1
-    h, own = _shingles(data, off)
+def prefixes(h: np.ndarray, own: np.ndarray, n: int, often: np.ndarray, times: np.ndarray, least: float) -> tuple[list[list[int]], np.ndarray]:
+    """(prefixes, set sizes) of ``n`` texts' distinct shingles: the first ones in the order that all documents share."""
     seen = np.zeros(len(h), np.int64)
     if len(often):
         at = np.minimum(np.searchsorted(often, h), len(often) - 1)
@@ -155,6 +156,27 @@ def prefixes(data: np.ndarray, off: np.ndarray, often: np.ndarray, times: np.nda
     return [h[a : a + k].view(np.int64).tolist() for a, k in zip(first.tolist(), length.tolist(), strict=True)], size
 
 
+def sketches(h: np.ndarray, own: np.ndarray, n: int) -> list[bytes]:
+    """Of ``n`` texts' distinct shingles, ascending by text: the size of the set (4 bytes), then hashes or bins."""
+    size = np.bincount(own, minlength=n)
+    few = size[own] <= SMALL
+    cut, who = (h[few] >> np.uint64(48)).astype(np.uint16), own[few]
+    head = np.ones(len(cut), bool)
+    head[1:] = (np.diff(cut) != 0) | (np.diff(who) != 0)
+    kept = np.bincount(who[head], minlength=n)
+    cut, ends = cut[head], np.cumsum(kept)
+    large = np.flatnonzero(size > SMALL)
+    bins = np.zeros((len(large), BINS), np.uint8)
+    if len(large):
+        h, who = h[~few], np.searchsorted(large, own[~few])
+        place = who * BINS + (h >> np.uint64(64 - BINS.bit_length() + 1)).astype(np.int64)
+        least = np.ones(len(h), bool)
+        least[1:] = np.diff(place) != 0
+        bins.reshape(-1)[place[least]] = (mix(h[least]) % np.uint64(255)).astype(np.uint8) + 1
+    row = {int(k): bins[i] for i, k in enumerate(large)}
+    return [np.uint32(size[i]).tobytes() + (row[i] if i in row else cut[ends[i] - kept[i] : ends[i]]).tobytes() for i in range(n)]
+
+
 def _often(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, counts) of the shingles that most often repeat in a sample of ``docs(doc_id, text)``, by hash."""
 
@@ -175,16 +197,16 @@ def _often(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return h[order], k[order]
 
 
-def features(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(fingerprints as (n, 10) ints of 24 bits, sketches (n, BINS) uint8 with 0 for empty bins) of concatenated texts."""
+def features(data: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Fingerprints of concatenated texts as (n, SEGMENTS) ints of BITS bits."""
     n = len(off) - 1
     low = LOWER[data]
     start, end, owner = spans(low, off, BLANK)
     tok = mix(Prefix(low).range(start, end)) if len(start) else np.zeros(0, np.uint64)
     toff = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=n) if len(owner) else np.zeros(n, np.int64))]).astype(np.int64)
-    values, sketch = np.zeros((n, SEGMENTS), np.int64), np.zeros((n, BINS), np.uint8)
+    values = np.zeros((n, SEGMENTS), np.int64)
     if not len(tok):
-        return values, sketch
+        return values
     h, own = _distinct(*_grams(tok, toff, 2))
     texts, first = np.unique(own, return_index=True)
     count = np.diff(np.append(first, len(own)))
@@ -196,20 +218,34 @@ def features(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]
             bit = c * 64 + i
             if bit < SEGMENTS * BITS:
                 values[texts, bit // BITS] |= major[:, i].astype(np.int64) << (bit % BITS)
-    h, own = _grams(tok, toff, 5)
-    place = own * BINS + (h >> np.uint64(56)).astype(np.int64)
-    order = np.lexsort((h & np.uint64((1 << 56) - 1), place))
-    head = np.ones(len(order), bool)
-    head[1:] = place[order][1:] != place[order][:-1]
-    best = order[head]
-    sketch.reshape(-1)[place[best]] = (mix(h[best]) % np.uint64(255)).astype(np.uint8) + 1
-    return values, sketch
-
-
-def similarity(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Estimated Jaccard similarity of shingle sets from sketches."""
-    used = ((a > 0) | (b > 0)).sum(1)
-    return np.where(used > 0, ((a == b) & (a > 0)).sum(1) / np.maximum(used, 1), 1.0)
+    return values
+
+
+def judge(a: list[bytes], b: list[bytes], least: float) -> tuple[np.ndarray, np.ndarray]:
+    """(may be, surely is) similar, of pairs of sketches. Neither a set too small for the other nor one surely unlike may be."""
+    sizes = [np.frombuffer(b"".join(x[:4] for x in side), np.uint32).astype(np.int64) for side in (a, b)]
+    lesser, larger = np.minimum(*sizes), np.maximum(*sizes)
+    may = lesser >= least * larger - 1e-9
+    sure = may & (larger == 0)  # texts without words are alike
+    few = np.flatnonzero(may & (larger <= SMALL) & (larger > 0))
+    if len(few):
+        keys, n = [], []
+        for side in (a, b):
+            got = [np.frombuffer(side[i], np.uint16, offset=4) for i in few]
+            n.append(np.array([len(x) for x in got]))
+            keys.append(np.concatenate(got).astype(np.int64) | np.repeat(np.arange(len(few)) << 16, n[-1]))
+        both = np.bincount(np.intersect1d(*keys, assume_unique=True) >> 16, minlength=len(few))
+        union = n[0] + n[1] - both
+        margin = np.where(union < 64, *COLLISIONS) / union
+        may[few], sure[few] = both / union >= least - margin, both / union >= least + margin
+    many = np.flatnonzero(may & (lesser > SMALL))
+    for i in range(0, len(many), 4096):
+        part = many[i : i + 4096]
+        x, y = (np.stack([np.frombuffer(side[k], np.uint8, offset=4) for k in part]) for side in (a, b))
+        used = np.maximum(((x > 0) | (y > 0)).sum(1), 1)
+        guess, margin = ((x == y) & (x > 0)).sum(1) / used, ERRORS * np.sqrt(least * (1 - least) / used)
+        may[part], sure[part] = guess >= least - margin, guess >= least + margin
+    return may, sure
 
 
 def _sketched(docs: DataFrame, least: float) -> DataFrame:
@@ -222,19 +258,19 @@ def _sketched(docs: DataFrame, least: float) -> DataFrame:
 
         for batch in batches:
             data, off = binary_column(batch, "text")
-            values, sketches, keys, heads, sizes = [], [], [], [], []
+            values, sketched, keys, heads, sizes = [], [], [], [], []
             for i, j in text_slices(off):
-                v, s = features(data[off[i] : off[j]], off[i : j + 1] - off[i])
-                values.append(v)
-                sketches.append(s)
-                head, size = prefixes(data[off[i] : off[j]], off[i : j + 1] - off[i], often, times, least)
+                part, within = data[off[i] : off[j]], off[i : j + 1] - off[i]
+                values.append(features(part, within))
+                h, own = _shingles(part, within)
+                sketched += sketches(h, own, j - i)
+                head, size = prefixes(h, own, j - i, often, times, least)
                 heads += head
                 sizes += size.tolist()
             for a, b in zip(off[:-1], off[1:], strict=True):
                 keys.append(xxhash.xxh3_128_digest(b" ".join(data[a:b].tobytes().lower().split())))
             v = np.concatenate(values) if values else np.zeros((0, SEGMENTS), np.int64)
-            s = np.concatenate(sketches) if sketches else np.zeros((0, BINS), np.uint8)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(v.astype(np.int32).tolist(), pa.list_(pa.int32())), pa.array([x.tobytes() for x in s], pa.binary()), pa.array(heads, pa.list_(pa.int64())), pa.array(sizes, pa.int64())], ["doc_id", "same", "values", "sketch", "head", "size"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(v.astype(np.int32).tolist(), pa.list_(pa.int32())), pa.array(sketched, pa.binary()), pa.array(heads, pa.list_(pa.int64())), pa.array(sizes, pa.int64())], ["doc_id", "same", "values", "sketch", "head", "size"])
 
     return base.mapInArrow(lean(run), "doc_id long, same binary, values array<int>, sketch binary, head array<long>, size long")
 
@@ -266,11 +302,9 @@ def _scored(found: DataFrame, classes: DataFrame, least: float) -> DataFrame:
         for batch in batches:
             if not len(batch):
                 continue
-            a, b = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, BINS) for k in (2, 3))
-            guess = similarity(a, b)
-            margin = ERRORS * np.sqrt(least * (1 - least) / np.maximum(((a > 0) | (b > 0)).sum(1), 1))
-            keep = pa.array(guess >= least - margin)
-            yield pa.RecordBatch.from_arrays([c.filter(keep) for c in [*batch.columns[:2], pa.array(guess >= least + margin)]], ["a", "b", "sure"])
+            may, sure = judge(batch.column(2).to_pylist(), batch.column(3).to_pylist(), least)
+            keep = pa.array(may)
+            yield pa.RecordBatch.from_arrays([c.filter(keep) for c in [*batch.columns[:2], pa.array(sure)]], ["a", "b", "sure"])
 
     return near.select("a", "b", "sa", "sb").mapInArrow(lean(verify), "a long, b long, sure boolean")
 

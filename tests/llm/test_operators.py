@@ -55,18 +55,49 @@ def test_suffix_dedup_is_brute_force(docs, monkeypatch):
     assert suffix_dedup.suffix_dedup(empty(docs)).count() == 0
 
 
-def test_levels_and_pieces():
+def test_suffix_arrays_and_pieces():
+    """Levels are in lexicographic order, and windows found repeated are those of brute force, whatever the batches."""
     rng = np.random.default_rng(0)
-    a, b = rng.integers(0, 50, 4000, dtype=np.uint64), rng.integers(0, 3, 4000, dtype=np.uint64)
-    doc, at = rng.integers(0, 40, 4000), np.arange(4000)
-    got = suffix_dedup.repeated(a, b, doc, at, batch=64)
-    seen, want = set(), np.zeros(4000, bool)
-    for i in np.lexsort((at, doc)):
-        want[i] = (a[i], b[i]) in seen
-        seen.add((a[i], b[i]))
-    assert (got == want).all()
+    for letters, n, size in ((2, 3000, 16), (3, 4000, 33), (200, 2000, 100), (1, 500, 100)):
+        data = rng.integers(0, letters, n, dtype=np.uint8) * np.uint8(255 // letters)
+        data[n // 2 : n // 2 + 150] = data[:150]
+        at = rng.permutation(n - size + 1)
+        text = data.tobytes()
+        order, head = suffix_dedup.Family(data, size).sort(at)
+        cut = [text[i : i + size] for i in order]
+        assert cut == sorted(cut) and head.tolist() == [True, *(x != y for x, y in zip(cut, cut[1:], strict=False))]
+        seen, want = set(), []
+        for i in at:
+            want.append(text[i : i + size] in seen)
+            seen.add(text[i : i + size])
+        for batch in (64, 700, 1 << 18):
+            assert suffix_dedup.repeated(data, at, size, batch=batch).tolist() == want
+    none = np.zeros(0, np.uint64)
     text = np.frombuffer(prose(300000).encode(), np.uint8)
-    assert sum(g[4].sum() for s, e, w, _, _ in suffix_dedup.pieces(np.array([0, len(text)]), 100) for g in [suffix_dedup.groups(text[s:e], w, 100)]) == len(text) - 99
+    assert sum(g[4].sum() for s, e, w, _, _ in suffix_dedup.pieces(np.array([0, len(text)]), 100) for g in [suffix_dedup.groups(text[s:e], w, 100, none)]) == len(text) - 99
+
+
+def test_one_anchor_in_every_document(spark, monkeypatch):
+    """A stub in ever new surroundings, counted as common or not, and matches across the pieces of a long text."""
+    stub = "Licensed under the terms of a well known public license. "
+    rows = [(i, prose(8) + stub + prose(RNG.randint(3, 30)) + stub * (i % 3)) for i in range(60)]
+    rows += [(60, prose(2500) + rows[3][1] + prose(3000)), (61, rows[3][1][20:])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(map(str, brute_repeats(rows)))
+    for often, piece, flush in ((2, 5000, 100), (1000, 1 << 19, 400_000)):
+        monkeypatch.setattr(suffix_dedup, "OFTEN", often)
+        monkeypatch.setattr(suffix_dedup, "PIECE", piece)
+        monkeypatch.setattr(suffix_dedup, "FLUSH", flush)
+        assert (len(suffix_dedup.common_anchors(df.withColumnRenamed("doc_id", "sid"), 100)) > 0) == (often == 2)
+        assert sorted(map(str, map(tuple, suffix_dedup.suffix_dedup(df).collect()))) == want
+
+
+def test_drop_repeats_with_clashing_names(spark):
+    names = ["n_removed", "kept_text", "sid", "_sid", "key"]
+    df = spark.createDataFrame([(1, "alpha", *range(5)), (None, None, *range(5)), (2, "", *range(5))], ["doc_id", "text", *names])
+    got = suffix_dedup.drop_repeats(df)
+    assert got.columns == df.columns and sorted(map(str, got.collect())) == sorted(str(r) for r in df.fillna("", ["text"]).collect())
+    assert suffix_dedup.drop_repeats(empty(df)).count() == 0
 
 
 def test_drop_repeats_keeps_each_row(spark):
@@ -175,6 +206,26 @@ def test_large_buckets_lose_no_group(spark, monkeypatch):
     assert groups() == whole
 
 
+def test_sketches_decide_only_what_sets_decide():
+    """What a sketch calls sure or drops is so by whole sets, for hashed sets, bins, and pairs of both."""
+    rng = np.random.default_rng(4)
+    texts, pairs = [], []
+    for n in [0, 1, 3, 12, 40, 150, 200, 240, 256, 262, 280, 400, 3000] * 6:
+        base = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        for share in (0.0, 0.05, 0.1, 0.111, 0.13, 0.2, 0.6):
+            other = base.copy()
+            k = int(n * share)
+            other[:k] = rng.integers(0, 1 << 63, k, dtype=np.uint64)
+            texts += [base, other[: max(n - int(share * 10), 0)]]
+            pairs.append((len(texts) - 2, len(texts) - 1))
+    texts = [np.unique(t) for t in texts]
+    own = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    sk = simhash_dedup.sketches(np.concatenate(texts), own, len(texts))
+    may, sure = simhash_dedup.judge([sk[a] for a, _ in pairs], [sk[b] for _, b in pairs], 0.8)
+    real = np.array([len(np.intersect1d(texts[a], texts[b])) >= 0.8 * len(np.union1d(texts[a], texts[b])) for a, b in pairs])
+    assert (may | ~real).all() and (real | ~sure).all() and (may & ~sure).mean() < 0.4
+
+
 def test_near_groups_find_repeated_lines_and_inserted_blocks(spark, monkeypatch):
     """Copies whose set of shingles is near, though their words are repeated, or edited in one block, are those of all pairs."""
     rows = []
