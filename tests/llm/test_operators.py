@@ -223,7 +223,7 @@ def test_sketches_decide_only_what_sets_decide():
     sk = simhash_dedup.sketches(np.concatenate(texts), own, len(texts))
     may, sure = simhash_dedup.judge([sk[a] for a, _ in pairs], [sk[b] for _, b in pairs], 0.8)
     real = np.array([len(np.intersect1d(texts[a], texts[b])) >= 0.8 * len(np.union1d(texts[a], texts[b])) for a, b in pairs])
-    assert (may | ~real).all() and (real | ~sure).all() and (may & ~sure).mean() < 0.4
+    assert (may | ~real).all() and (real | ~sure).all() and sure.any() and not may.all()
 
 
 def test_near_groups_find_repeated_lines_and_inserted_blocks(spark, monkeypatch):
