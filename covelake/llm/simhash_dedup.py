@@ -96,7 +96,8 @@ SEGMENTS, BITS = 10, 24
 SMALL, BINS = 256, 512
 #: Buckets up to PAIRS members compare all pairs at once. Larger ones go in rounds: up to LEADERS[i] members of a bucket
 #: meet everyone, then groups are formed, and only members of different groups go on; the last round takes all that is
-#: left. A pair that no round compares is in one group already, so groups are those of all pairs.
+#: left. Rounds after the first go by prefixes alone, since these lose no pair, and judge no pair again that met before.
+#: A pair that no round compares is in one group already, so groups are those of all pairs.
 PAIRS, LEADERS = 32, (4, 64, None)
 #: Askers of a large bucket that one task compares with its members.
 SHARE = 256
@@ -355,7 +356,7 @@ def near_components(docs: DataFrame, classes: DataFrame, least: float) -> DataFr
     # a document that leads one bucket leads the others of its size too, so that its group meets few leaders in all
     members = materialise(large.select("key", F.col("rep").alias("b"), F.col("more").alias("nb"), "n", F.floor(F.shiftrightunsigned(F.xxhash64("rep"), 11) / F.lit(float(1 << 53)) * F.col("n")).alias("turn")), "members")
     askers = materialise(large.select("key", F.col("rep").alias("a"), F.col("more").alias("na"), F.pmod(F.xxhash64("rep"), shares).cast("int").alias("share")), "askers")
-    links = comp = None
+    links = comp = judged = None
     done = 0
     for until in LEADERS:
         turn = members.where(F.col("turn") >= done) if until is None else members.where((F.col("turn") >= done) & (F.col("turn") < until))
@@ -364,14 +365,17 @@ def near_components(docs: DataFrame, classes: DataFrame, least: float) -> DataFr
         else:
             group = lambda df, x: df.join(comp.select(F.col("node").alias(x), F.col("component").alias(f"c{x}")), x, "left").withColumn(f"c{x}", F.coalesce(f"c{x}", x))
             hear = materialise(group(askers, "a"), "hear")
-            mixed = hear.groupBy("key").agg(F.min("ca").alias("lo"), F.max("ca").alias("hi")).where("lo < hi").select("key")
+            mixed = hear.where("key < 0").groupBy("key").agg(F.min("ca").alias("lo"), F.max("ca").alias("hi")).where("lo < hi").select("key")
             mixed = materialise(mixed, "mixed")
             if mixed.isEmpty():
                 break
             tell, hear = group(turn, "b").join(mixed, "key", "left_semi"), hear.join(mixed, "key", "left_semi")
         tell = tell.select("key", "b", "nb", "cb", F.explode(F.sequence(F.lit(0), shares - 1)).alias("share"))
         more = hear.join(tell, ["key", "share"]).where((F.col("ca") != F.col("cb")) & near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        scored = materialise(_scored((found.unionByName(more) if comp is None else more).distinct(), classes, least), "scored")
+        # pairs that meet in buckets of several sizes are judged once
+        more = materialise(found.unionByName(more).distinct() if judged is None else more.distinct().join(judged, ["a", "b"], "left_anti"), "met")
+        judged = more if judged is None else judged.unionByName(more)
+        scored = materialise(_scored(more, classes, least), "scored")
         new = _decided(scored, docs, least)
         links = materialise(new if links is None else links.unionByName(new), "links")
         comp = materialise(components(links), "components")
