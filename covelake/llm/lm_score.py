@@ -1,13 +1,15 @@
 """Document likelihood under a subword lattice model.
 
-The pieces come from an existing subword vocabulary, whose own scores (ranks) give the first weights;
-their probabilities are then re-estimated from the word counts of all training documents by expectation
-maximisation over all segmentations (the sums are gathered by piece, so the driver holds one number a
-piece). A word's lattice probability is the sum over all its segmentations, by forward recursion in log
-space; every character can also be spelt by its bytes, so nothing is unknown. Words met in training have
-one arc more, over the whole word, with their discounted share of the training tokens; the discounted
-mass is what weighs the segmentations. A text's probability is the product over its words and the end
-mark, mixed over the languages of the training rows.
+The pieces come from an existing subword vocabulary. Its own scores give the first weights; the one at hand is a byte-pair
+vocabulary, whose scores are ranks, so they are read as Zipf weights. The weights then learn by expectation maximisation
+over all segmentations, with the first weights as a prior: a few rounds over the commonest words, then one over the word
+counts of all training documents (the sums are gathered by piece, so the driver holds one number a piece). A word's
+lattice probability is the sum over all its segmentations, by forward recursion in log space; every character can also
+be spelt by its bytes, so nothing is unknown.
+
+``score`` is the lattice's marginal: the product over a text's words and its end mark. ``mixed_score`` is an extra: there
+words met in training have one arc more, over the whole word, with their discounted share of the training tokens; the
+discounted mass weighs the segmentations, and texts are mixed over the languages of the training rows.
 
 ``base_score`` is the word-unigram score of the contract. The counts of the ``top_words`` most frequent
 words go to every task (a fixed number of words, however large the corpus); all other words are looked up
@@ -47,8 +49,10 @@ def default_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-def vocabulary(path: str) -> tuple[list[str], list[int], np.ndarray]:
-    """(pieces, ids of the 256 bytes, first log weights); the last id is the end mark."""
+def vocabulary(path: str | tuple) -> tuple[list[str], list[int], np.ndarray]:
+    """(pieces, ids of the 256 bytes, first log weights) of a model file, or given as such; the last id is the end mark."""
+    if isinstance(path, tuple):
+        return path
     import sentencepiece
 
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -198,10 +202,21 @@ def word_counts(docs: DataFrame, flush: int = 200_000) -> DataFrame:
     return docs.select("text", "group").mapInArrow(lean(run), "word binary, group int, n long").groupBy("word", "group").agg(F.sum("n").alias("n"))
 
 
-def fit(counts: DataFrame, ends: int, path: str, rounds: int = 1, prior: float = 50.0) -> np.ndarray:
-    """Log weights of the pieces after ``rounds`` of expectation maximisation over all words of ``counts``."""
-    pieces, byte_ids, logp = vocabulary(path)
+def fit(counts: DataFrame, ends: int, path: str | tuple, common: tuple[list[bytes], np.ndarray], warm: int = 3, rounds: int = 1, prior: float = 50.0) -> np.ndarray:
+    """Log weights of the pieces: ``warm`` rounds of expectation maximisation over the ``common`` words only, then ``rounds`` over all of ``counts``."""
+    logp = vocabulary(path)[2]
     first = np.exp(logp)
+
+    def weights(sums: np.ndarray) -> np.ndarray:
+        total = first * prior + sums
+        total[-1] += ends
+        with np.errstate(divide="ignore"):
+            return np.log(total / total.sum())
+
+    words, n = common
+    for _ in range(warm if words else 0):
+        lattice = Lattice(*vocabulary(path)[:2], logp)
+        logp = weights(sum(lattice.expect(words[i : i + 20_000], n[i : i + 20_000]) for i in range(0, len(words), 20_000)))
     for _ in range(rounds):
 
         def run(batches, logp=logp):
@@ -215,12 +230,10 @@ def fit(counts: DataFrame, ends: int, path: str, rounds: int = 1, prior: float =
             yield pa.RecordBatch.from_arrays([pa.array(hit, pa.int32()), pa.array(into[hit])], ["piece", "n"])
 
         got = counts.select("word", "n").mapInArrow(lean(run), "piece int, n double").groupBy("piece").agg(F.sum("n").alias("n")).collect()  # one row a piece
-        total = first * prior
+        sums = np.zeros(len(logp))
         for r in got:
-            total[r.piece] += r.n
-        total[-1] += ends
-        with np.errstate(divide="ignore"):
-            logp = np.log(total / total.sum())
+            sums[r.piece] = r.n
+        logp = weights(sums)
     return logp
 
 
@@ -236,11 +249,11 @@ def _loaded(model_id: str, shared, path: str):
     return _LOADED[model_id]
 
 
-def lm_scores(docs: DataFrame, modulus: int = 5, held: int = 1, vocabulary_path: str | None = None, top_words: int = 100_000, discount: float = 0.6) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row of ``docs``.
+def lm_scores(docs: DataFrame, modulus: int = 5, held: int = 1, vocabulary_path: str | tuple | None = None, top_words: int = 100_000, warm_words: int = 50_000, discount: float = 0.6) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, mixed_score of every row of ``docs``.
 
-    The training rows' ``lang`` (if there is one) splits the counts into at most ``GROUPS`` groups; a text's
-    probability is the mixture over the groups, so its own lang is never looked at.
+    For ``mixed_score`` the training rows' ``lang`` (if there is one) splits the counts into at most ``GROUPS`` groups; a
+    text's probability is the mixture over the groups, so its own lang is never looked at.
     """
     small_batches(docs.sparkSession)
     spark = docs.sparkSession
@@ -260,8 +273,9 @@ def lm_scores(docs: DataFrame, modulus: int = 5, held: int = 1, vocabulary_path:
     ends = int(ends_by.sum())
     total, distinct = int(words_by.sum()) + ends, kinds + (ends > 0)
     log_z = math.log10(total + 0.5 * (distinct + 1))
-    logp = fit(counts, ends, path)
     best = counts.orderBy(F.desc("n"), "word").limit(top_words).toArrow()  # a fixed number of words
+    common = best.column("word").to_pylist()
+    logp = fit(counts, ends, path, (common[:warm_words], best.column("n").to_numpy()[:warm_words].astype(float)))
     # In a group a word has its discounted share of the tokens, and the words share what was discounted by their lattice probability.
     tokens_by = words_by + ends_by
     live = np.flatnonzero(ends_by > 0).tolist() or [0]
@@ -272,15 +286,16 @@ def lm_scores(docs: DataFrame, modulus: int = 5, held: int = 1, vocabulary_path:
     share = np.where(ends_by > 0, ends_by, 0.0) / ends if ends else np.eye(GROUPS)[0]
     end_base = math.log10(ends + 0.5) - log_z
     end_log = np.log10(np.maximum(end_group, 1e-300))
-    # Base score, then a score in each live group, of the common words; the last row stands for all others.
-    common = best.column("word").to_pylist()
-    table = np.zeros((len(common) + 1, 1 + len(live)))
+    # Base score, a score in each live group and the lattice's of the common words; the last row stands for all others.
+    table = np.zeros((len(common) + 1, 2 + len(live)))
     if common:
         lattice = Lattice(*vocabulary(path)[:2], logp)
-        lat = np.exp(np.concatenate([lattice.log_probs(common[i : i + 20_000]) for i in range(0, len(common), 20_000)]))
+        lat = np.concatenate([lattice.log_probs(common[i : i + 20_000]) for i in range(0, len(common), 20_000)])
         table[:-1, 0] = np.log10(best.column("n").to_numpy() + 0.5) - log_z
+        table[:-1, -1] = lat / LOG10
         for k, g in enumerate(live):
-            table[:-1, 1 + k] = np.log10(np.maximum(best.column(f"n{g}").to_numpy() - discount, 0) / n_by[g] + back[g] * lat + 1e-300)
+            own = np.maximum(best.column(f"n{g}").to_numpy() - discount, 0) / n_by[g]
+            table[:-1, 1 + k] = np.where(own > 0, np.log10(np.where(own > 0, own, 1) + back[g] * np.exp(lat)), lat / LOG10 + np.log10(back[g]))
     shared = spark.sparkContext.broadcast((b" ".join(common), table, logp))  # words hold no blanks
     model_id = uuid.uuid4().hex
 
@@ -298,11 +313,13 @@ def lm_scores(docs: DataFrame, modulus: int = 5, held: int = 1, vocabulary_path:
                 keys = list(seen)
                 at = np.fromiter((get(w, other) for w in keys), np.int64, len(keys))
                 n = np.fromiter(seen.values(), np.float64, len(keys))
-                sums = n @ table[at] if keys else np.zeros(1 + len(live))
+                sums = n @ table[at] if keys else np.zeros(2 + len(live))
                 miss = np.flatnonzero(at == other).tolist()
                 times = n.astype(np.int64)
+                spelt = sums[-1] + logp[-1] / LOG10
                 for i in miss:
                     w = keys[i]
+                    spelt += n[i] * lat[w] / LOG10
                     rare[0].append(rid)
                     rare[1].append(w)
                     rare[2].append(int(times[i]))
@@ -310,7 +327,7 @@ def lm_scores(docs: DataFrame, modulus: int = 5, held: int = 1, vocabulary_path:
                 main[0].append(rid)
                 main[1].append(int(times.sum()) + 1)
                 main[2].append(int(times.sum() - times[miss].sum()) + int(ends > 0))
-                main[3].append([end_base + sums[0], *(end_log[g] + sums[1 + k] for k, g in enumerate(live))])
+                main[3].append([end_base + sums[0], *(end_log[g] + sums[1 + k] for k, g in enumerate(live)), spelt])
                 rid += 1
             m, r = len(main[0]), len(rare[0])
             vector = pa.list_(pa.float64())
@@ -327,14 +344,15 @@ def lm_scores(docs: DataFrame, modulus: int = 5, held: int = 1, vocabulary_path:
     terms = [F.sum(times * (F.log10(F.coalesce("n", zero) + 0.5) - F.lit(log_z))).alias("s0")]
     for k, g in enumerate(live):
         own = F.greatest(F.coalesce(f"n{g}", zero) - F.lit(discount), F.lit(0.0)) / F.lit(float(n_by[g]))
-        # a very long word's lattice probability may be below the smallest double: then its logarithm stands alone
-        both = own + F.lit(float(back[g])) * F.pow(F.lit(10.0), F.greatest("lat", F.lit(-290.0)))
-        terms.append(F.sum(times * F.when((F.col("lat") < -290) & (own == 0), F.col("lat") + F.lit(float(np.log10(back[g])))).otherwise(F.log10(both))).alias(f"s{1 + k}"))
+        # a very long word's lattice probability may be below the smallest double: where it stands alone, its logarithm does
+        both = F.log10(own + F.lit(float(back[g])) * F.pow(F.lit(10.0), "lat"))
+        terms.append(F.sum(times * F.when(own > 0, both).otherwise(F.col("lat") + F.lit(float(np.log10(back[g]))))).alias(f"s{1 + k}"))
     found = rare.groupBy("rid").agg(*terms, F.sum(F.when(F.col("n") > 0, times).otherwise(0)).alias("known"))
     main = rows.where("word is null").drop("word", "times", "lat").join(found, "rid", "left")
     part = [F.element_at("sums", 1 + k) + F.coalesce(f"s{k}", F.lit(0.0)) for k in range(1 + len(live))]
     weighted = F.array(*[part[1 + k] + F.lit(float(np.log10(share[g]))) for k, g in enumerate(live)])
     best = F.array_max("weighted")
     main = main.withColumn("weighted", weighted)
-    score = best + F.log10(F.aggregate("weighted", F.lit(0.0), lambda acc, x: acc + F.pow(F.lit(10.0), x - best)))
-    return main.select("doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), part[0].alias("base_score"), score.alias("score"))
+    mixed = best + F.log10(F.aggregate("weighted", F.lit(0.0), lambda acc, x: acc + F.pow(F.lit(10.0), x - best)))
+    score = F.element_at("sums", 2 + len(live))
+    return main.select("doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), part[0].alias("base_score"), score.alias("score"), mixed.alias("mixed_score"))

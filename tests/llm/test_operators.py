@@ -276,6 +276,67 @@ def test_tiling_catches_reordered_passages(spark):
     assert sorted(map(str, many.collect())) == sorted(map(str, got))
 
 
+def naive_tiling(item, doc, k):
+    """Greedy string tiling by definition: longest common run of unmarked words, first in the item, then in the document."""
+    used_i, used_j, tiles = [False] * len(item), [False] * len(doc), []
+    while True:
+        best = (k - 1, 0, 0)
+        for i in range(len(item)):
+            for j in range(len(doc)):
+                n = 0
+                while i + n < len(item) and j + n < len(doc) and item[i + n] == doc[j + n] and not used_i[i + n] and not used_j[j + n]:
+                    n += 1
+                if n > best[0]:
+                    best = (n, i, j)
+        n, i, j = best
+        if n < k:
+            return sum(t for t, *_ in tiles), len(tiles)
+        tiles.append(best)
+        used_i[i : i + n] = [True] * n
+        used_j[j : j + n] = [True] * n
+
+
+@pytest.mark.parametrize("chunk, diagonals", [(1 << 20, 1 << 20), (7, 1 << 20), (50, 6)])
+def test_tiling_is_naive_tiling(monkeypatch, chunk, diagonals):
+    monkeypatch.setattr(decontaminate, "CHUNK", chunk)
+    monkeypatch.setattr(decontaminate, "DIAGONALS", diagonals)
+    rng = random.Random(chunk)
+    for case in range(60):
+        letters = "abc"[: 1 + case % 3]
+        items = [[rng.choice(letters) for _ in range(rng.randint(1, 25))] for _ in range(3)]
+        docs = [[rng.choice(letters) for _ in range(rng.randint(0, 40))] for _ in range(3)] + [items[0][4:] + ["z"] + items[0][:4] + items[1]]
+        k = rng.choice((2, 3, 5))
+        index = decontaminate.Index([0, 1, 2], [" ".join(x).encode() for x in items], k)
+        text = [" ".join(x).encode() for x in docs]
+        tok, off = decontaminate.tokens(np.frombuffer(b"".join(text), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in text])]))
+        for threshold in (0.0, 0.8):
+            got = {(d, m): (c, n) for d, m, c, n in index.matches(tok, off, threshold)}
+            want = {(d, m): naive_tiling(items[m], docs[d], min(k, len(items[m]))) for d in range(4) for m in range(3)}
+            assert got == {key: v for key, v in want.items() if v[0] and v[0] >= threshold * len(items[key[1]])}
+
+
+def test_tiling_of_one_word_repeated(spark):
+    """300,000 times one word against an item of the same word, in bounded memory; and rows are judged one by one."""
+    import tracemalloc
+
+    index = decontaminate.Index([0], [b"word " * 100], 5)
+    text = np.frombuffer(b"word " * 300_000, np.uint8)
+    tok, off = decontaminate.tokens(text, np.array([0, len(text)]))
+    tracemalloc.start()
+    assert list(index.matches(tok, off, 0.8)) == [(0, 0, 100, 1)]
+    assert tracemalloc.get_traced_memory()[1] < 400 << 20
+    tracemalloc.stop()
+    item = " ".join(f"word{i}" for i in range(40))
+    rows = [(1, item, 1, "a"), (1, "clean", 1, "b"), (None, item, 1, "c"), (None, "clean too", 1, "d"), (2, None, 1, "e")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, item_id int, coverage string")
+    bench = spark.createDataFrame([(7, item), (8, prose(30)), (None, "clean too")], "item_id long, text string")
+    for size in (16 << 20, 64):
+        got = decontaminate.decontaminate(df, bench, block_bytes=size)
+        assert got.columns == df.columns and sorted(r.coverage for r in got.collect()) == ["b", "d", "e"]
+        assert sorted(map(str, ((r.doc_id, r.item_id) for r in decontaminate.contaminated(df, bench, block_bytes=size).collect()))) == ["(1, 7)", "(None, 7)"]
+        assert decontaminate.contaminated(empty(df), bench, block_bytes=size).count() == decontaminate.decontaminate(empty(df), bench, block_bytes=size).count() == 0
+
+
 def test_pq_recall_and_odd_vectors(spark):
     rng = np.random.default_rng(3)
     x = rng.normal(size=(300, 16))
@@ -344,6 +405,45 @@ def test_lattice_is_the_sum_over_segmentations():
         assert abs(slope - got[k]) < 1e-4
 
 
+def test_lm_score_is_the_sum_over_segmentations(spark):
+    """Scores of whole small texts against weights re-estimated and segmentations summed by brute force."""
+    import math
+    import zlib
+    from collections import Counter
+
+    pieces = ["▁", "a", "b", "ab", "▁a", "▁ab", "ba"] + [""] * 256 + [""]
+    first = np.arange(1, len(pieces) + 1, dtype=float)
+    first /= first.sum()
+    spelling = list(range(7, 263))
+
+    def ways(text, w):
+        """(probability, pieces) of all segmentations."""
+        if not text:
+            return [(1.0, ())]
+        own = [(w[p], (p,), len(pieces[p])) for p in range(7) if text.startswith(pieces[p])]
+        own.append((math.prod(w[spelling[x]] for x in text[0].encode()), tuple(spelling[x] for x in text[0].encode()), 1))
+        return [(q * r, ps + rest) for q, ps, n in own for r, rest in ways(text[n:], w)]
+
+    rows = [(i, t) for i, t in enumerate(["ab ab b", "BA a", "", None, "abab zz", "é a\tb", "b ab", "a"])]
+    words = {i: [x.decode() for x in (t or "").encode().lower().split()] for i, t in rows}
+    train = [i for i, _ in rows if zlib.crc32(str(i).encode()) % 5 != 1]
+    count, w = Counter(x for i in train for x in words[i]), first
+    for _ in range(4):  # three rounds over the common words, here all, and one over all
+        total = first * 50.0
+        for x, n in count.items():
+            found = ways("▁" + x, w)
+            z = sum(q for q, _ in found)
+            for q, ps in found:
+                for p in ps:
+                    total[p] += n * q / z
+        total[-1] += len(train)
+        w = total / total.sum()
+    want = {i: math.log10(w[-1]) + sum(math.log10(sum(q for q, _ in ways("▁" + x, w))) for x in words[i]) for i, _ in rows}
+    table = (pieces, spelling, np.log(first))
+    got = lm_score.lm_scores(spark.createDataFrame(rows, "doc_id long, text string"), vocabulary_path=table).collect()
+    assert len(got) == len(rows) and all(abs(r.score - want[r.doc_id]) < 1e-9 for r in got)
+
+
 def test_lm_base_score(docs):
     import math
     import zlib
@@ -357,10 +457,13 @@ def test_lm_base_score(docs):
     n, v = sum(c.values()) + ends, len(c) + 1
     z = n + 0.5 * (v + 1)
     want = sorted((i, held(i), len(ws) + 1, sum(c[w] > 0 for w in ws) + 1, n, round(sum(math.log10((c[w] + 0.5) / z) for w in ws) + math.log10((ends + 0.5) / z), 6)) for i, ws in rows)
+    mixed = []
     for top in (50, 100_000):  # words outside the broadcast take the join
-        got = lm_score.lm_scores(with_id, top_words=top).collect()
+        got = lm_score.lm_scores(with_id, top_words=top, warm_words=50).collect()
         assert sorted((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in got) == want
-        assert all(r.score < 0 and math.isfinite(r.score) for r in got)
+        assert all(r.score < 0 and math.isfinite(r.score) and math.isfinite(r.mixed_score) for r in got)
+        mixed.append(sorted((r.doc_id, r.n_tokens, round(r.score, 6), round(r.mixed_score, 6)) for r in got))
+    assert mixed[0] == mixed[1]  # whatever the size of the table
     assert lm_score.lm_scores(empty(docs)).count() == 0
 
 
