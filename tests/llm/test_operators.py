@@ -1,5 +1,6 @@
 import hashlib
 import html
+import math
 import random
 import re
 
@@ -355,6 +356,59 @@ def test_pq_recall_and_odd_vectors(spark):
     assert embed_dedup.near_vectors(spark.createDataFrame(odd, "vec_id long, embedding array<float>").where("false")).count() == 0
 
 
+def brute_vectors(rows):
+    m = np.array([r for _, r in rows])
+    m /= np.linalg.norm(m, axis=1)[:, None]
+    near = m @ m.T >= 0.9
+    np.fill_diagonal(near, False)
+    return near.sum(1), brute_components(range(len(rows)), zip(*np.nonzero(near), strict=True))
+
+
+@pytest.mark.parametrize("cell, queries", [(4096, 16_384), (150, 60), (40, 500)])
+def test_pairs_of_vectors_are_judged_once(spark, monkeypatch, cell, queries):
+    """A dense group that fills cells and blocks, pairs around the threshold and clashing column names: links are those of brute force."""
+    monkeypatch.setattr(embed_dedup, "CELL", cell)
+    monkeypatch.setattr(embed_dedup, "QUERIES", queries)
+    rng = np.random.default_rng(8)
+    hot = rng.normal(size=16)
+    x = [*(hot + rng.normal(size=(250, 16)) * 0.2), *rng.normal(size=(200, 16))]
+    x += [v + rng.normal(size=16) * 0.25 for v in x[250:400]] + [x[3]] * 3
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(x)]
+    df = spark.createDataFrame([(i, v, 0, 0, 0, 0) for i, v in rows], "vec_id long, embedding array<double>, v int, n int, k1 int, rep int")
+    got = embed_dedup.near_vectors(df, sample=500).toPandas().set_index("vec_id").sort_index()
+    links, comp = brute_vectors(rows)
+    assert links.max() > 200 and (got.n_links.to_numpy() <= links).all() and got.n_links.sum() >= 0.99 * links.sum()
+    assert np.mean([got.component_id[i] == comp[i] for i in comp]) > 0.99
+
+
+def test_vectors_of_doubles(spark):
+    """Doubles decide in double precision, and tiny vectors aren't zero."""
+    a, b = [1.0, 0.0], [0.9, math.sqrt(1 - 0.9**2) * (1 + 1e-12)]  # a little below 0.9 in doubles only
+    rows = [(1, a), (2, b), (3, [1e-50, 0.0]), (4, [-1e-300, 1e-310]), (5, [1.0, 0.0, 0.0]), (None, a)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embed_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == {1: (1, 1), 2: (0, 2), 3: (1, 1), 4: (0, 4), 5: (0, 5), None: (0, None)}
+
+
+def test_members_compared_stay_flat():
+    """Members that a query meets don't grow with the table."""
+    rng = np.random.default_rng(2)
+    met = []
+    for n in (10_000, 50_000):
+        x = rng.normal(size=(n, 32))
+        x /= np.linalg.norm(x, axis=1)[:, None]
+        index = embed_dedup.Index(x[:5000], n, 0.9)
+        own, q = embed_dedup._nearest(x, index.cells), x[:200]
+        look, total = embed_dedup._probes(q, index.cells, embed_dedup.PROBE_CELLS, index.r), 0
+        for cell in range(len(index.cells)):
+            members = x[own == cell]
+            for block in np.array_split(members, -(-len(members) // embed_dedup.CELL)):
+                lists = embed_dedup.Block(index, block)
+                asks = embed_dedup._probes(q[look[:, cell]], lists.centre, embed_dedup.PROBE_LISTS, index.r)
+                total += int((asks @ np.bincount(lists.own, minlength=len(lists.centre))).sum())
+        met.append(total / len(q))
+    assert met[1] < 1.5 * met[0]
+
+
 def test_main_text(spark):
     page = "<html><head><title>t</title></head><body><header>Top</header><nav>a b</nav><div class='cookie-notice'>ok?</div><article><header><h1>T &amp; x</h1></header><p>One<br>two <b>three</b><p>Four<script>var a='</p>'</script><aside>side</aside><form>f</form></article><section id=comments><p>hi</p></section><footer>f</footer>"
     plain = lambda body: f"<body><div>{' '.join(f'menu{i}' for i in range(12))}</div><p>{body}</p></body>"
