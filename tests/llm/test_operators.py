@@ -1,5 +1,6 @@
 import hashlib
 import html
+import json
 import math
 import random
 import re
@@ -553,6 +554,45 @@ def test_tool_calls(spark):
     assert got == {"a": (1, "ok", None, 2, 2), "b": (2, "invalid", "type:x", 1, 0), "c": (3, "invalid", "unknown:tool", 1, 0), "d": (None, "cycle", None, 1, 0), "e": (None, "cycle", None, 1, 0), "zz": (None, "orphan result", None, 0, 1)}
 
 
+def test_tool_arguments(spark):
+    """Types by the parsed value, malformed JSON, canonical order at every level, and equal arguments in another order."""
+    args = ['{"x": 5, "b": {"d": [1, {"z": 1, "a": null}], "c": 2}}', '{"b":{"c":2,"d":[1,{"a":null,"z":1}]},"x":5}', '{"x":"5"}', '{"x":1.5}', '{"x":1.0}', "{x", None, '{"x":null}', "[1]", '{"x":1,"s":7}', '{"x":1,"s":"q"}', '{"x":1,"l":{}}', '{"x":1,"l":[2],"o":{},"f":1}', '{"x":1,"x":2}', '{"x":99}']
+    schema = {"t": {"properties": {"x": {"type": "integer", "maximum": 50}, "s": {"type": "string", "enum": ["p"]}, "l": {"type": "array"}, "o": {"type": "object"}, "f": {"type": "boolean"}}, "required": ["x"]}}
+    calls = spark.createDataFrame([(f"c{i:02}", 1, "t", a, None, "x") for i, a in enumerate(args)] + [("c00", 1, "t", args[1], None, "x"), ("c02", 1, "t", args[1], None, "x")], "call_id string, conv_id long, tool string, arguments string, after_id string, step string")
+    got = chat_format.link_calls(calls, spark.createDataFrame([], "call_id string, conv_id long, content string"), schema).orderBy("call_id").collect()
+    assert [r.error for r in got] == [None, None, "type:x" if min(args[1], args[2]) == args[2] else None, "type:x", None, "json", "json", "missing:x", "type:arguments", "type:s", "enum:s", "type:l", "type:f", "json", "maximum:x"]
+    assert [json.loads(r.canonical)["arguments"] for r in got[:2]] == ['{"b":{"c":2,"d":[1,{"a":null,"z":1}]},"x":5}'] * 2
+    assert [r.conflict for r in got[:3]] == [False, False, True] and [r.n_calls for r in got[:3]] == [2, 1, 2]
+
+
+TURNS = "conv_id long, turn long, role string, text string, own string, n string, met string"
+
+
+def test_kept_ids_are_linked(spark):
+    """Turns that keep an id are followed and answered by it; long chains, nulls, repeated rows, clashing names and the SQL for them."""
+    import duckdb
+
+    rows = [(1, 0, "user", '{"id":"q1","a":1}'), (1, 1, "assistant", "plain answer"), (1, 2, "user", "next"), (1, 3, "assistant", '{"id":"q9"}'), (1, 4, "tool", "x"), (2, 0, "user", None), (2, 1, "assistant", None), (2, 2, "system", "")]
+    rows += [(None, 0, "user", "a"), (3, None, "user", "a"), (2, 1, "assistant", None), (4, 0, "user", "{broken"), (4, 1, "assistant", '{"id":7}'), (5, 0, "user", '{"id":"s"}'), (5, 2, "user", '{"id":"s"}'), (5, 4, "user", '{"id":"t"}'), (6, 9, "user", "x" * 5000)]
+    rows += [(9, i, ("user", "assistant")[i % 2], f"t{i}") for i in range(130)]
+    df = spark.createDataFrame([(*r, "own", "n", "met") for r in rows], TURNS)
+    out = chat_format.link_calls(*chat_format.from_conversations(df), chat_format.SCHEMAS)
+    got = {r.call_id: r for r in out.collect()}
+    assert (got["1:q1"].status, got["1:q1"].step, got["1:2"].step, got["1:2"].status, got["1:q9"].status, got["1:4"].step) == ("ok", 1, 2, "no result", "orphan result", 3)
+    assert json.loads(got["1:q1"].canonical)["result"] == "plain answer"
+    assert (got["2:0"].error, got["2:0"].n_results, got["2:2"].error, got["4:0"].status, got["4:7"].status, got["6:9"].status) == ("missing:text", 2, "minLength:text", "no result", "orphan result", "no result")
+    assert got["9:128"].step == 65 and got["5:s"].conflict and got["5:t"].status == "no result"  # of the two calls s, the least follows nothing
+    con = duckdb.connect()
+    con.register("conversations", pd.DataFrame(rows, columns=["conv_id", "turn", "role", "text"]).astype({"conv_id": "Int64", "turn": "Int64"}))
+    cols = sorted(out.columns)
+    assert same(out.select(*cols).collect()) == same(con.execute(f"select {', '.join(cols)} from ({chat_format.ORACLE})").fetchall())
+    assert chat_format.link_calls(*chat_format.from_conversations(empty(df)), chat_format.SCHEMAS).count() == 0
+
+
+def same(rows):
+    return sorted(tuple(str(None if pd.isna(v) else v) for v in r) for r in rows)
+
+
 @pytest.mark.parametrize("name", sorted(registry.ORACLES))
 def test_oracles(spark, name):
     import duckdb
@@ -562,8 +602,7 @@ def test_oracles(spark, name):
         con.execute(f"create view {t} as select * from '{DATA}/{t}.parquet'")
     df = registry.QUERIES[name](spark, DATA)
     cols = sorted(df.columns)
-    rows = lambda x: sorted(tuple(str(None if pd.isna(v) else v) for v in r) for r in x)
-    assert rows(df.select(*cols).collect()) == rows(con.execute(f"select {', '.join(cols)} from ({registry.ORACLES[name]})").fetchall())
+    assert same(df.select(*cols).collect()) == same(con.execute(f"select {', '.join(cols)} from ({registry.ORACLES[name]})").fetchall())
 
 
 def test_pipeline_keeps_what_each_stage_keeps(spark):
