@@ -427,13 +427,71 @@ def test_copies_of_a_page_are_no_repetition(spark):
     assert got == [(1, f"{menu}\n{body}"), (2, f"{menu}\n{body}"), (2, f"{menu}\n{body}"), (3, body), (4, body), (5, "other body")]
 
 
+def texts_of_pages(spark, rows, **how):
+    df = spark.createDataFrame([(i, u, h, "a", 1, 2, "b") for i, u, h in rows], "page_id long, url string, html string, text string, rid int, kind int, main string")
+    return {r.page_id: r.text for r in html_extract.main_texts(df, **how).collect()}
+
+
+def test_host_judges_what_markup_does_not(spark):
+    """Open pages against brute force over all runs of the host's pages; a site's block inside articles; both stay without the method."""
+    rng, rows, open_blocks = random.Random(5), [], {}
+    words = [f"w{i}" for i in range(60)]
+    shared = [" ".join(rng.choice(words) for _ in range(rng.randint(3, 14))) for _ in range(6)]
+    for i in range(30):
+        own = [" ".join(rng.choice(words) for _ in range(rng.randint(1, 25))) for _ in range(3)]
+        parts = [rng.choice(shared) + rng.choice(["", " own tail"]), own[0], rng.choice(shared) + " " + own[1], own[2], rng.choice(shared)]
+        open_blocks[i] = (f"h{i % 3}", parts)
+        rows.append((i, f"https://u@h{i % 3}:80/{i}", "<body>" + "".join(f"<div>{p}</div>" for p in parts)))
+    extra, about = "Read all of our stories in the app", [prose(20) for _ in range(20)]
+    rows += [(100 + i, f"//site/{i}", f"<article><p>{about[i]}</p><p>{extra}</p><p>{about[0][:50] if i % 4 == 0 else about[i][::-1]}</p></article>") for i in range(20)]
+    rows += [(200 + i, f"//few/{i}", f"<article><p>{extra}</p><p>{about[i]}</p></article>") for i in range(5)]  # too few pages to tell
+    where = {}
+    for i, (host, parts) in open_blocks.items():
+        stream = " ".join(parts).split()
+        for k in range(max(1, len(stream) - 7)):
+            where.setdefault((host, *stream[k : k + 8]), set()).add(" ".join(parts))
+    got = texts_of_pages(spark, rows)
+    for i, (host, parts) in open_blocks.items():
+        stream = " ".join(parts).split()
+        gone = {k for k in range(max(1, len(stream) - 7)) if len(where[(host, *stream[k : k + 8])]) > 1}
+        assert got[i] == html_extract.keep_unique(parts, gone)
+    clean = [about[0][:50].strip() if i % 4 == 0 else about[i][::-1] for i in range(20)]
+    assert all(got[100 + i] == f"{about[i]}\n{clean[i]}" for i in range(20)) and all(got[200 + i] == f"{extra}\n{about[i]}" for i in range(5))
+    plain = texts_of_pages(spark, rows, by_host=False)
+    assert all(plain[i] == "\n".join(parts) for i, (_, parts) in open_blocks.items()) and plain[101] == f"{about[1]}\n{extra}\n{clean[1]}"
+
+
+def test_markup_that_loses_no_article(spark):
+    art = "<article><p>Hello there</p></article>"
+    pages = [
+        "<html><head><title>t</title><body><article><p>Hello there</article>", f"<title>t</title>{art}", f'<div class="with-sidebar">{art}<div class="sidebar">x</div></div>', '<article class="post tag-related category-ads"><p>Hello there</p></article>',
+        '<article><section class="search-results"><p>Hello there</p></section><div class="search">q</div></article>', f'<div class="ads-layout">{art}</div>', '<article><p>Hello there</p></article><section id="comments"><article>no</article></section>', '<div class="related-posts"><article class="card">no</article></div><main><p>Hello there</p></main>',
+        f'{art}<article class="comment-body">no</article>', '<article><p class="x>Hello there</p></article>', "<article><p>Hello <b>there</i></p></article>", '<body><header>no</header><div role="main"><header>Hello</header> there</div>', "<ul><li>Hello<li>there</ul>",
+        '<article><p>Hello<a href="a>b">there</a></p><!-- never closed </article>', "<article>a < b <5 Hello</article>", "<p>Hello</p><template><article>no</article></template>",
+    ]
+    got = texts_of_pages(spark, [(i, f"http://host{i}/", h) for i, h in enumerate(pages)])
+    assert [got[i] for i in range(10)] == ["Hello there"] * 10
+    assert [got[i] for i in range(10, 16)] == ["Hello there", "Hello\nthere", "Hello\nthere", "Hellothere", "a < b <5 Hello", "Hello"]
+
+
+@pytest.mark.parametrize("piece", ["<xmp>", '<a "', "<a =\"x", "<b>", "<p><b>", "</i>", "<div></div><b>", "<!", "<![CDATA[", "<", "</", "&amp", '<a class="', "<li><b></li>", "<title>", "class ="])
+def test_time_is_linear(piece):
+    import time
+
+    html_extract.blocks(piece * 100)
+    began = time.perf_counter()
+    html_extract.blocks(piece * (1 << 20 >> 2))
+    assert time.perf_counter() - began < 12
+
+
 def test_main_text_of_test_pages(spark):
-    pages = spark.read.parquet(f"{DATA}/pages.parquet")
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
     got = {r.page_id: r.text for r in html_extract.main_texts(pages).collect()}
     for r in pages.collect():
         body = re.search(r"<article>(.*?)</article>", r.html, re.S)[1]
         want = [" ".join(html.unescape(re.sub(r"<[^>]*>", "", b)).split()) for b in re.split(r"</?(?:p|h1)>|<br>", body)]
         assert got[r.page_id] == "\n".join(b for b in want if b)
+    assert html_extract.main_texts(empty(pages)).count() == 0
 
 
 def test_lattice_is_the_sum_over_segmentations():
