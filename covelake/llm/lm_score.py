@@ -25,6 +25,7 @@ from __future__ import annotations
 import math
 import uuid
 from collections import Counter, defaultdict
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -81,16 +82,24 @@ class Lattice:
     def __init__(self, pieces: list[str], byte_ids: list[int], logp: np.ndarray):
         self.logp, self.bytes, self.end = logp, np.array(byte_ids), float(logp[-1])
         ids = np.array([i for i, p in enumerate(pieces) if p])
-        texts = [pieces[i].encode("utf-8") for i in ids]
-        off = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
-        h = mix(Prefix(np.frombuffer(b"".join(texts), np.uint8)).range(off[:-1], off[1:]))
+        begins = sorted({pieces[i][:k] for i in ids for k in range(1, len(pieces[i]) + 1)})
+        h = self._hash(begins)
+        self.seen = np.zeros(1 << 22, bool)  # of what some piece begins with
+        self.seen[h >> np.uint64(42)] = True
+        h = self._hash([pieces[i] for i in ids])
         order = np.argsort(h)
         self.hashes, self.ids = h[order], ids[order]
+        self.first = np.searchsorted(self.hashes, np.arange(1 << 20, dtype=np.uint64) << np.uint64(44)).astype(np.int32)
+        self.most = int(np.bincount((h >> np.uint64(44)).astype(np.int64)).max())
         self.longest = max(len(pieces[i]) for i in ids)
-        self.seen = np.zeros(1 << 20, bool)
-        self.seen[h >> np.uint64(44)] = True
         self.cache: dict[bytes, float] = {}
 
+    @staticmethod
+    def _hash(texts: list[str]) -> np.ndarray:
+        data = [t.encode("utf-8") for t in texts]
+        off = np.concatenate([[0], np.cumsum([len(t) for t in data])])
+        return mix(Prefix(np.frombuffer(b"".join(data), np.uint8)).range(off[:-1], off[1:]))
+
     def arcs(self, words: list[bytes]):
         """(start, end, piece ids or -1, log weight) of all arcs in order of end, nodes' (depth, word, first node of a word)."""
         mark = MARK.encode("utf-8")
@@ -111,10 +120,17 @@ class Lattice:
         for size in range(1, self.longest + 1):
             live = live[left[live] >= size]
             h = mix(prefix.range(pos[live], pos[live + size]))
-            maybe = np.flatnonzero(self.seen[h >> np.uint64(44)])
-            k = np.minimum(np.searchsorted(self.hashes, h[maybe]), len(self.hashes) - 1)
-            hit = self.hashes[k] == h[maybe]
-            who, piece = live[maybe[hit]], self.ids[k[hit]]
+            some = self.seen[h >> np.uint64(42)]
+            live, h = live[some], h[some]  # others begin no piece, nor longer ones
+            if not len(live):
+                break
+            k = self.first[h >> np.uint64(44)]
+            piece = np.full(len(h), -1)
+            for step in range(self.most):
+                at_k = np.minimum(k + step, len(self.hashes) - 1)
+                piece = np.where(self.hashes[at_k] == h, self.ids[at_k], piece)
+            hit = np.flatnonzero(piece >= 0)
+            who, piece = live[hit], piece[hit]
             out.append((node[who], node[who] + size, piece, self.logp[piece]))
         start, end, piece, w = (np.concatenate(x) for x in zip(*out, strict=True))
         first = np.cumsum(chars + 1) - chars - 1
@@ -150,7 +166,7 @@ class Lattice:
     def lookup(self, words: set[bytes]) -> dict[bytes, float]:
         """Log probabilities of all the words; those not met before are computed together."""
         got = {w: p for w in words if (p := self.cache.get(w)) is not None}
-        new = sorted(words - got.keys())
+        new = list(words - got.keys())
         for i in range(0, len(new), 20_000):
             part = new[i : i + 20_000]
             found = dict(zip(part, self.log_probs(part).tolist(), strict=True))
@@ -301,6 +317,7 @@ def lm_scores(docs: DataFrame, modulus: int = 5, held: int = 1, vocabulary_path:
 
     def run(batches):
         index, table, lattice = _loaded(model_id, shared, path)
+        logp = lattice.logp
         other = len(index)
         get = index.get
         rid = TaskContext.get().partitionId() << 36
@@ -308,35 +325,34 @@ def lm_scores(docs: DataFrame, modulus: int = 5, held: int = 1, vocabulary_path:
             docs_seen = [Counter(words) for words in _words_of(batch)]
             lat = lattice.lookup({w for seen in docs_seen for w in seen if w not in index})
             main: list[list] = [[], [], [], []]
-            rare: list[list] = [[], [], [], []]
+            words: list[bytes] = []
+            counts: list[np.ndarray] = []
+            sizes: list[int] = []
             for seen in docs_seen:
                 keys = list(seen)
-                at = np.fromiter((get(w, other) for w in keys), np.int64, len(keys))
+                at = np.fromiter(map(get, keys, repeat(other)), np.int64, len(keys))
                 n = np.fromiter(seen.values(), np.float64, len(keys))
                 sums = n @ table[at] if keys else np.zeros(2 + len(live))
-                miss = np.flatnonzero(at == other).tolist()
-                times = n.astype(np.int64)
-                spelt = sums[-1] + logp[-1] / LOG10
-                for i in miss:
-                    w = keys[i]
-                    spelt += n[i] * lat[w] / LOG10
-                    rare[0].append(rid)
-                    rare[1].append(w)
-                    rare[2].append(int(times[i]))
-                    rare[3].append(lat[w] / LOG10)
-                main[0].append(rid)
-                main[1].append(int(times.sum()) + 1)
-                main[2].append(int(times.sum() - times[miss].sum()) + int(ends > 0))
+                miss = np.flatnonzero(at == other)
+                new = list(map(keys.__getitem__, miss.tolist()))
+                words += new
+                counts.append(n[miss])
+                sizes.append(len(new))
+                spelt = sums[-1] + logp[-1] / LOG10 + float(n[miss] @ np.fromiter(map(lat.__getitem__, new), np.float64, len(new))) / LOG10
+                main[1].append(int(n.sum()) + 1)
+                main[2].append(int(n.sum() - n[miss].sum()) + int(ends > 0))
                 main[3].append([end_base + sums[0], *(end_log[g] + sums[1 + k] for k, g in enumerate(live)), spelt])
-                rid += 1
-            m, r = len(main[0]), len(rare[0])
+            rids = np.arange(rid, rid + len(docs_seen))
+            rid += len(docs_seen)
+            m, r = len(docs_seen), len(words)
             vector = pa.list_(pa.float64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(main[0], pa.int64()), batch.column(0), batch.column(2), pa.array(main[1], pa.int64()), pa.array(main[2], pa.int64()), pa.array(main[3], vector), pa.nulls(m, pa.binary()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.float64())],
+                [pa.array(rids), batch.column(0), batch.column(2), pa.array(main[1], pa.int64()), pa.array(main[2], pa.int64()), pa.array(main[3], vector), pa.nulls(m, pa.binary()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.float64())],
                 names := ["rid", "doc_id", "held_out", "n_tokens", "n_known", "sums", "word", "times", "lat"],
             )
             if r:
-                yield pa.RecordBatch.from_arrays([pa.array(rare[0], pa.int64()), pa.nulls(r, pa.int64()), pa.nulls(r, pa.bool_()), pa.nulls(r, pa.int64()), pa.nulls(r, pa.int64()), pa.nulls(r, vector), pa.array(rare[1], pa.binary()), pa.array(rare[2], pa.int64()), pa.array(rare[3], pa.float64())], names)
+                spelling = np.fromiter(map(lat.__getitem__, words), np.float64, r) / LOG10
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(rids, sizes)), pa.nulls(r, pa.int64()), pa.nulls(r, pa.bool_()), pa.nulls(r, pa.int64()), pa.nulls(r, pa.int64()), pa.nulls(r, vector), pa.array(words, pa.binary()), pa.array(np.concatenate(counts).astype(np.int64)), pa.array(spelling)], names)
 
     rows = materialise(base.select("doc_id", "text", "held_out").mapInArrow(lean(run), "rid long, doc_id long, held_out boolean, n_tokens long, n_known long, sums array<double>, word binary, times long, lat double"), "scored")
     rare = rows.where("word is not null").select("rid", "word", "times", "lat").join(counts, "word", "left")
