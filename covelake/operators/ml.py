@@ -1,4 +1,4 @@
-"""The fraud model: features, a linear pipeline, ranking metrics by windows over distinct scores."""
+"""The fraud model: features, a linear pipeline, global ranks and ranking metrics by ranges of scores."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from covelake.functions import semantics as S
+from covelake.sources.work import written
 
 
 def features(spark, d) -> DataFrame:
@@ -61,32 +62,80 @@ def train_and_score(rows: DataFrame, train, categories: list[str], numbers: list
     return fitted, fitted.transform(x).withColumn("proba", vector_to_array("probability")[1])
 
 
-def _cumulative(key: str):
-    """Totals over distinct scores; the window runs over distinct values only."""
-    return Window.orderBy(F.desc(key)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+def refit_and_rank(rows: DataFrame, categories: list[str], numbers: list[str], constants: dict[str, float], key: str, version: str, share: float = 0.1, c: float = 0.5):
+    """(model fitted on all labelled rows, all rows with key, proba, rank, review and model_version): what goes to reviewers after the test."""
+    fitted, scored = train_and_score(rows, F.lit(True), categories, numbers, constants, c)
+    return fitted, rank_scores(scored.select(key, "proba"), "proba", key, share).withColumn("model_version", F.lit(version))
+
+
+def _cuts(df: DataFrame, column: str) -> list[float]:
+    """Distinct quantiles of a number, about one a shuffle partition."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return sorted(set(df.select(F.col(column).cast("double").alias("x")).approxQuantile("x", [i / n for i in range(1, n)], 0.2 / n))) if n > 1 else []
+
+
+def _key_cuts(df: DataFrame, key: str) -> list:
+    """Values that cut a key of any order into ranges of about equal size, from a bounded sample; they only balance tasks."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = min(1.0, 100 * n / max(1, df.count()))
+    some = sorted(r[0] for r in df.select(key).where(F.col(key).isNotNull() & (F.pmod(F.xxhash64(key), F.lit(1 << 20)) < (1 << 20) * share)).limit(1000 * n).collect())
+    return sorted({some[i * len(some) // n] for i in range(1, n)}) if some else []
+
+
+def _range(column, cuts: list[float]):
+    """(range, whether it is of one value): numbers equal to a cut are ranges of their own, odd ones; the others lie between. Nulls come lowest."""
+    x, points = F.col(column).cast("double"), F.array(*[F.lit(c) for c in cuts]).cast("array<double>")
+    below, on = F.size(F.filter(points, lambda c: c < x)), F.array_contains(points, x)
+    return F.when(x.isNull(), -1).otherwise(2 * below + F.coalesce(on, F.lit(False)).cast("int")), F.coalesce(on, F.lit(False))
+
+
+def ranked(df: DataFrame, score: str, key: str) -> DataFrame:
+    """``df`` with its global ``rank``: descending by score (a number), ties by key (distinct).
+
+    Scores are cut into ranges, and a score with very many rows into ranges of keys; rows are ranked within a range, after
+    the number of rows in better ranges. Only the ranges' counts meet in one task.
+    """
+    df = written(df)
+    part, single = _range(score, _cuts(df, score))
+    points = _key_cuts(df, key)
+    sub = F.size(F.filter(F.array(*[F.lit(c) for c in points]), lambda c: c <= F.col(key))) if points else F.lit(0)
+    dealt = df.withColumn("_part", part).withColumn("_sub", F.when(single, sub).otherwise(0))
+    size = dealt.groupBy("_part", "_sub").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy(F.desc("_part"), "_sub").rowsBetween(Window.unboundedPreceding, -1)
+    size = size.select("_part", "_sub", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_better"))  # a fixed number of ranges
+    within = F.row_number().over(Window.partitionBy("_part", "_sub").orderBy(F.desc(score), key))
+    return dealt.withColumn("_w", within).join(F.broadcast(size), ["_part", "_sub"]).withColumn("rank", (F.col("_w") + F.col("_better")).cast("bigint")).drop("_part", "_sub", "_w", "_better")
 
 
 def rank_scores(df: DataFrame, score: str, key: str, share: float) -> DataFrame:
-    """Global rank (descending, ties by key) and whether it is in the top share: ranks within a score are offset by the number of better rows."""
-    n = df.count()
-    per = df.groupBy(score).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = per.withColumn("_better", F.sum("_n").over(_cumulative(score)) - F.col("_n")).drop("_n")
-    within = F.row_number().over(Window.partitionBy(score).orderBy(key))
-    return df.withColumn("_w", within).join(offsets, score).select(key, score, (F.col("_w") + F.col("_better")).cast("bigint").alias("rank")).withColumn("review", F.col("rank") <= int(n * share))
+    """Global rank (descending, ties by key) and whether it is in the top share."""
+    rows = ranked(df, score, key)
+    n = rows.count()
+    return rows.select(key, score, "rank").withColumn("review", F.col("rank") <= int(n * share))
 
 
 def precision_at(df: DataFrame, label: str, score: str, key: str, share: float) -> DataFrame:
-    k = max(1, round(df.count() * share))
-    top = df.orderBy(F.desc(score), key).limit(k)
-    return top.agg(F.round(F.sum(label).cast("double") / F.count(F.lit(1)), 6).alias("precision_at_k"), F.count(F.lit(1)).alias("k"))
+    """Share of the label among the best ``share`` of all rows, by global rank: no task holds them all."""
+    rows = ranked(df, score, key)
+    k = max(1, round(rows.count() * share))
+    return rows.where(F.col("rank") <= k).agg(F.round(F.sum(label).cast("double") / F.count(F.lit(1)), 6).alias("precision_at_k"), F.count(F.lit(1)).alias("k"))
 
 
 def ranking_quality(df: DataFrame, label: str, score: str) -> DataFrame:
-    """ROC-AUC and average precision from counts by distinct score."""
-    t = df.groupBy(score).agg(F.sum(label).cast("bigint").alias("p"), F.sum(1 - F.col(label)).cast("bigint").alias("n"))
-    down = _cumulative(score)
-    below = F.coalesce(F.sum("n").over(Window.orderBy(score).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    c = t.withColumns({"below": below, "tp": F.sum("p").over(down), "taken": F.sum(F.col("p") + F.col("n")).over(down)})
+    """ROC-AUC and average precision from counts by distinct score, cumulated within ranges of scores and over the ranges."""
+    t = written(df.groupBy(score).agg(F.sum(label).cast("bigint").alias("p"), F.sum(1 - F.col(label)).cast("bigint").alias("n")))
+    t = t.withColumn("_part", _range(score, _cuts(t, score))[0])
+    totals = t.groupBy("_part").agg(F.sum("p").alias("_p"), F.sum("n").alias("_n"))
+    over = lambda order: Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    totals = totals.select("_part", zero(F.sum("_n").over(over("_part"))).alias("_below"), *[zero(F.sum(x).over(over(F.desc("_part")))).alias(f"_above{x}") for x in ("_p", "_n")])  # a fixed number of ranges
+    inside = Window.partitionBy("_part")
+    down = inside.orderBy(F.desc(score)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    c = t.join(F.broadcast(totals), "_part").withColumns({
+        "below": F.col("_below") + zero(F.sum("n").over(inside.orderBy(score).rowsBetween(Window.unboundedPreceding, -1))),
+        "tp": F.col("_above_p") + F.sum("p").over(down),
+        "taken": F.col("_above_p") + F.col("_above_n") + F.sum(F.col("p") + F.col("n")).over(down),
+    })
     return c.agg(
         F.round(F.sum(F.col("p") * (2 * F.col("below") + F.col("n"))).cast("double") / (2 * F.sum("p") * F.sum("n")).cast("double"), 6).alias("roc_auc"),
         F.round(F.sum(F.col("p").cast("double") * F.col("tp") / F.col("taken")) / F.sum("p").cast("double"), 6).alias("average_precision"),

@@ -31,7 +31,7 @@ class Result:
 
 
 def paired(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Full outer join on the keys' text: structs ``l`` and ``r``, null where a side has no row (a null key on a real row isn't taken for a missing one)."""
+    """Full outer join on the keys' text: structs ``l`` and ``r``, null where a side has no row. A row with a null key has no partner: it counts as missing or extra, but stays a row."""
     a = left.select(F.struct(*left.columns).alias("l"), *[F.col(k).cast("string").alias(f"_k{i}") for i, k in enumerate(keys)])
     b = right.select(F.struct(*right.columns).alias("r"), *[F.col(k).cast("string").alias(f"_k{i}") for i, k in enumerate(keys)])
     return a.join(b, [f"_k{i}" for i in range(len(keys))], "full_outer")
@@ -73,7 +73,7 @@ def reconcile(left: DataFrame, right: DataFrame, keys: Sequence[str], columns: S
     out = Result("pass", row["left_rows"] or 0, row["right_rows"] or 0, row["missing"] or 0, row["extra"] or 0)
     for c in columns:
         out.columns.append(ColumnResult(c, row[f"diff_{c}"] or 0, row.get(f"left_{c}"), row.get(f"right_{c}")))
-        if out.columns[-1].mismatches and len(out.samples) < 15:
+        if out.columns[-1].mismatches and len(out.samples) < 3 * sample_size:
             got = samples(left, right, keys, c, (tolerances or {}).get(c, tolerance), sample_size)
             out.samples += [{"column": c, **r.asDict()} for r in got.collect()]  # at most sample_size rows
     if out.missing or out.extra or out.left_rows != out.right_rows or any(c.mismatches for c in out.columns):

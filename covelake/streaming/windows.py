@@ -18,18 +18,21 @@ def sample_stream(spark, d) -> DataFrame:
 
 
 def first_by_id(rows: DataFrame) -> DataFrame:
-    """The earliest row of each event."""
-    w = Window.partitionBy("event_id").orderBy("ts")
-    return rows.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    """The earliest row of each event; of rows at the same time the least by its other columns."""
+    rest = [c for c in rows.columns if c not in ("event_id", "ts")]
+    first = F.min(F.struct("ts", *rest)).alias("first")
+    return rows.groupBy("event_id").agg(first).select("event_id", "first.*").select(rows.columns)
 
 
 def late(rows: DataFrame) -> DataFrame:
     """Marks events older than the watermark left by the retained events that arrived before them (arrival: absolute id).
 
+    The watermark is the newest event so far less the delay. An event that isn't retained is older than that, so it can't
+    be the newest: the maximum over all events is that over the retained ones.
     Arrival is cut into ranges of about equal size, one a shuffle partition: the maximum of each range, the running maximum
     over the ranges, and a scan within each range. Only one row a range meets in one task.
     """
-    arrival, seen = F.abs("event_id"), F.when(F.col("event_id") > 0, F.col("ts"))
+    arrival, seen = F.abs("event_id"), F.col("ts")
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cuts = rows.select(arrival.alias("at")).approxQuantile("at", [i / n for i in range(1, n)], 0.1 / n) if n > 1 else []
     part = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= arrival)) if cuts else F.lit(0)
@@ -59,8 +62,11 @@ def by_window(rows: DataFrame) -> DataFrame:
 
 
 def refresh(windows: DataFrame, events: DataFrame, new: DataFrame) -> DataFrame:
-    """Windows that ``new`` touches are computed anew over all ``events``; the others stay."""
+    """Windows that ``new`` touches are computed anew over all ``events`` in them; the others stay."""
     keys = touched(new)
+    span = keys.agg(F.min("window_start"), F.max("window_start")).first()  # one row: files of other times aren't read
+    if span[0] is not None:
+        events = events.where((F.col("ts") >= F.lit(span[0])) & (F.col("ts") < F.lit(span[1]) + F.expr(f"interval {WIDTH}")))
     again = by_window(events.withColumn("window_start", _start()).join(keys, ["window_start", "province"], "left_semi").drop("window_start"))
     return windows.join(keys, ["window_start", "province"], "left_anti").unionByName(again)
 
