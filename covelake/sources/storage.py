@@ -1,7 +1,9 @@
-"""Layer tables on parquet: versions in their own folders, and a pointer that is swapped last.
+"""Layer tables on parquet: each write in a folder of its own, committed by Spark's marker, which is written last.
 
-Readers take the version that the pointer names, so they never see a half-written table, and a table can be
-rewritten from itself. The pointer is a small text dataset written through Spark, so any store Spark reaches will do.
+A folder ``v<time>`` is the whole table, a folder ``a<time>`` rows appended to the version before it. Readers take the newest
+whole version with what was appended since, so they never see a half-written table, and a table can be rewritten from
+itself. An append may carry a tag; a later append with the same tag replaces it, so that a replayed batch replaces its own
+work. Appends cost what they bring; ``compact`` makes one version of them.
 """
 
 from __future__ import annotations
@@ -14,7 +16,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from covelake.operators.history import merge_latest
-from covelake.operators.relational import union_by_name
 
 
 class Lake:
@@ -26,34 +27,58 @@ class Lake:
         p = jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()), p
 
-    def versions(self, name: str) -> list[str]:
-        """Committed versions, oldest first: those whose marker exists."""
+    def _folders(self, name: str) -> list[str]:
+        """Committed folders, oldest first: those whose marker exists."""
         fs, p = self._fs(f"{self.root}/{name}")
         if not fs.exists(p):
             return []
-        return sorted(s.getPath().getName() for s in fs.listStatus(p) if fs.exists(self._fs(f"{self.root}/{name}/{s.getPath().getName()}/_SUCCESS")[1]))
+        found = [s.getPath().getName() for s in fs.listStatus(p) if fs.exists(self._fs(f"{self.root}/{name}/{s.getPath().getName()}/_SUCCESS")[1])]
+        return sorted(found, key=lambda f: f[1:21])
+
+    def versions(self, name: str) -> list[str]:
+        """Committed whole versions, oldest first."""
+        return [f for f in self._folders(name) if f[0] == "v"]
+
+    def current(self, name: str) -> list[str]:
+        """The folders that make the table: the newest version, and of later appends the last of each tag."""
+        found, out = self._folders(name), {}
+        for f in found:
+            if f[0] == "v":
+                out = {f: f}
+            else:
+                out[f[22:] or f] = f
+        return sorted(out.values(), key=lambda f: f[1:21])
 
     def exists(self, name: str) -> bool:
-        return bool(self.versions(name))
+        return bool(self._folders(name))
 
     def read(self, name: str) -> DataFrame:
-        found = self.versions(name)
+        found = self.current(name)
         if not found:
             raise LookupError(f"no table {name}")
-        return self.spark.read.parquet(f"{self.root}/{name}/{found[-1]}")
+        paths = [f"{self.root}/{name}/{f}" for f in found]
+        return self.spark.read.option("mergeSchema", len(paths) > 1).parquet(*paths)
+
+    def append(self, name: str, df: DataFrame, tag: str = "") -> DataFrame:
+        """Rows by column name, in a folder of their own; columns that either side lacks are null there (a new column widens the table)."""
+        df.write.parquet(f"{self.root}/{name}/a{time.time_ns():020d}" + (f"-{tag}" if tag else ""))
+        return self.read(name)
+
+    def drop(self, name: str) -> None:
+        """The table with all its versions, if there is one."""
+        fs, p = self._fs(f"{self.root}/{name}")
+        fs.delete(p, True)
 
     def overwrite(self, name: str, df: DataFrame, keep: int = 2) -> DataFrame:
-        """A new version (committed by Spark's own marker); all but the last ``keep`` go."""
+        """A new version (committed by Spark's own marker); what is older than the last ``keep`` versions goes."""
         df.write.parquet(f"{self.root}/{name}/v{time.time_ns():020d}")
-        for old in self.versions(name)[:-keep]:
-            fs, p = self._fs(f"{self.root}/{name}/{old}")
-            fs.delete(p, True)
+        kept = self.versions(name)[-keep:]
+        for old in self._folders(name):
+            if old[1:21] < kept[0][1:21]:
+                fs, p = self._fs(f"{self.root}/{name}/{old}")
+                fs.delete(p, True)
         return self.read(name)
 
-    def append_by_name(self, name: str, df: DataFrame) -> DataFrame:
-        """Rows by column name; columns that either side lacks are null there (a new column widens the table)."""
-        return self.overwrite(name, union_by_name(self.read(name), df) if self.exists(name) else df)
-
     def upsert(self, name: str, new: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
         """Keyed upsert in which existing rows of touched keys compete with the new ones."""
         from covelake.operators.relational import dedup_latest
@@ -61,20 +86,22 @@ class Lake:
         return self.overwrite(name, merge_latest(self.read(name), new, keys, order) if self.exists(name) else dedup_latest(new, keys, order))
 
     def compact(self, name: str, file_bytes: int = 256 << 20) -> DataFrame:
-        """The newest version anew in files of about ``file_bytes``; a table that has no more files than that stays as it is."""
-        fs, p = self._fs(f"{self.root}/{name}/{self.versions(name)[-1]}")
-        parts = [s.getLen() for s in fs.listStatus(p) if s.getPath().getName().startswith("part-")]
+        """The table as one version in files of about ``file_bytes``; a table that has no more files than that stays as it is."""
+        parts = []
+        for f in self.current(name):
+            fs, p = self._fs(f"{self.root}/{name}/{f}")
+            parts += [s.getLen() for s in fs.listStatus(p) if s.getPath().getName().startswith("part-")]
         files = max(1, math.ceil(sum(parts) / file_bytes))
         return self.overwrite(name, self.read(name).repartition(files)) if len(parts) > files else self.read(name)
 
     def vacuum(self, name: str, hours: float = 168.0, now: float | None = None) -> list[str]:
-        """Drops what is older than ``hours`` and not the newest version, unfinished writes included; returns what went."""
-        found = self.versions(name)
-        if not found:
+        """Drops what is older than ``hours`` and no part of the table, unfinished writes included; returns what went."""
+        now_in = set(self.current(name))
+        if not now_in:
             return []
         before = ((time.time() if now is None else now) - hours * 3600) * 1e9
         fs, p = self._fs(f"{self.root}/{name}")
-        old = sorted(v for s in fs.listStatus(p) if (v := s.getPath().getName()) != found[-1] and v[:1] == "v" and v[1:].isdigit() and int(v[1:]) < before)
+        old = sorted(v for s in fs.listStatus(p) if (v := s.getPath().getName()) not in now_in and v[:1] in "va" and v[1:21].isdigit() and int(v[1:21]) < before)
         for v in old:
             fs.delete(self._fs(f"{self.root}/{name}/{v}")[1], True)
         return old
