@@ -241,8 +241,8 @@ def bpe_digests(docs: DataFrame, tokenizer_path: str | None = None, id_col: str
     ``tokenizer_path`` must be readable on every executor (it is part of an installed package); None
     takes the 50k byte-level vocabulary there.
     """
-
     small_batches(docs.sparkSession)
+
     def run(batches):
         c = codec(tokenizer_path or default_path())
         kept_caches["bpe"] = codec.cache_clear

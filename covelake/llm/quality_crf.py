@@ -16,6 +16,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from covelake.llm.common import binary_column, lean, small_batches, text_slices
 from covelake.llm.kernels import BLANK, Prefix, spans
@@ -195,7 +196,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, max_docs: int = 3000, max
     sample = labelled_sample(docs, labels, "quality", fold("doc_id", modulus) != held, max_docs, max_bytes)
     model = train(sample)
     cols = docs.columns if keep_columns else ["doc_id", "text"]
-    base = docs.select(*cols).withColumn("held_out", fold("doc_id", modulus) == held)
+    base = docs.select(*cols).withColumn("held_out", F.coalesce(fold("doc_id", modulus) == held, F.lit(False)))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema if keep_columns or f.name != "text") + ", score double, predicted int"
 
     def run(batches):

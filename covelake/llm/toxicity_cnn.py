@@ -178,7 +178,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, max_docs: int = 2400, ma
     model = train(sample, share)
     cut = (model or {}).get("thresholds", {})
     lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), lang.alias("lang"), "text").withColumn("held_out", fold("doc_id", modulus) == held)
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), lang.alias("lang"), "text").withColumn("held_out", F.coalesce(fold("doc_id", modulus) == held, F.lit(False)))
 
     def run(batches):
         for batch in batches:

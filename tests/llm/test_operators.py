@@ -676,3 +676,90 @@ def test_pipeline_keeps_what_each_stage_keeps(spark):
         first, seen = out, ids
     got = p.run(spark, DATA).collect()
     assert {r.doc_id for r in got} == seen and len(got) == len(seen)
+
+
+CLASHES = ["held_out", "score", "sid", "component", "component_id", "key", "n", "fp", "rep", "group", "word", "rid", "same", "label", "y", "o"]
+
+
+def test_clashing_names_change_nothing(spark, docs):
+    """Extra columns under names that the operators use inside, rows without an id, and empty tables."""
+    wide = docs.select("doc_id", "text", "lang", *[F.lit("x").alias(c) for c in CLASHES])
+    plain = docs.select("doc_id", "text", "lang")
+    y = spark.createDataFrame([(i, i % 2, i % 2, "x", 1) for i in range(40)], "doc_id long, quality int, toxic int, score string, o int")
+    y0 = y.select("doc_id", "quality", "toxic")
+    bench = spark.createDataFrame([(1, prose(30), 5)], "item_id long, text string, doc_id int")
+    runs = {
+        "op1": lambda d, y: suffix_dedup.suffix_dedup(d), "op5": lambda d, y: lm_score.lm_scores(d).select("doc_id", "held_out", "n_tokens", F.round("score", 6)), "op6": lambda d, y: simhash_dedup.simhash_groups(d),
+        "op7": lambda d, y: quality_crf.quality_scores(d, y), "op8": lambda d, y: bpe_codec.bpe_digests(d), "op9": lambda d, y: toxicity_cnn.toxicity_scores(d, y), "op10": lambda d, y: decontaminate.contaminated(d, bench),
+        "filter": lambda d, y: quality_crf.quality_filter(d, y).select("doc_id", "text"), "near": lambda d, y: simhash_dedup.near_dedup(d).select("doc_id", "text"), "repeats": lambda d, y: suffix_dedup.drop_repeats(d).select("doc_id", "text"), "leaks": lambda d, y: decontaminate.decontaminate(d, bench).select("doc_id", "text"),
+    }
+    for name, f in runs.items():
+        got = sorted(str(tuple(r)) for r in f(wide, y).collect())
+        assert got == sorted(str(tuple(r)) for r in f(plain, y0).collect()), name
+        assert f(empty(wide), y).count() == 0, name
+    for f in (quality_crf.quality_scores, toxicity_cnn.toxicity_scores):
+        assert f(docs, y0).where("held_out is null").count() == 0 and not f(docs, y0).where("doc_id is null").first().held_out
+
+
+def brute_pipeline(rows, bench):
+    """The stages by definition, on (doc_id, text); without labels the first keeps all."""
+    from tokenizers import Tokenizer
+
+    sets = [set(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else set() for w in ((t or "").encode().lower().split() for _, t in rows)]
+    near = [(rows[i][0], rows[j][0]) for i in range(len(rows)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    comp = brute_components([d for d, _ in rows], near)
+    seen, kept = set(), []
+    for d, t in sorted(r for r in rows if comp[r[0]] == r[0]):
+        b = (t or "").encode()
+        gone = np.zeros(len(b), bool)
+        for p in range(len(b) - 99):
+            if b[p : p + 100] in seen:
+                gone[p : p + 100] = True
+            seen.add(b[p : p + 100])
+        rest = np.frombuffer(b, np.uint8)[~gone].tobytes().decode()
+        if rest.strip(" ") or not gone.any():
+            kept.append((d, rest))
+    words = lambda t: re.findall(rb"[0-9a-z\x80-\xff]+", t.encode().lower())
+    leaked = lambda t: any(naive_tiling(words(x), words(t), min(5, len(words(x))))[0] >= 0.8 * len(words(x)) for x in bench)
+    tok, out = Tokenizer.from_file(bpe_codec.default_path()), []
+    for d, t in kept:
+        if not leaked(t):
+            ids = tok.encode(t, add_special_tokens=False).ids
+            out.append((d, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(tok.decode(ids, skip_special_tokens=False).encode()).hexdigest()))
+    return sorted(out)
+
+
+def test_pipeline_is_brute_force(spark, tmp_path):
+    import corpus_pipeline as p
+
+    rng = random.Random(11)
+    text = lambda n: " ".join(rng.choice(WORDS) for _ in range(n))
+    base, item, passage = text(120), text(30), text(40)
+    near = base.split()
+    near[60] = "edited"
+    half = item.split()
+    rows = [(1, base), (2, " ".join(near)), (3, base.encode().upper().decode()), (4, text(50) + " " + passage + " " + text(20)), (5, passage + " " + text(30)), (6, passage), (7, " ".join(half[15:]) + " then " + " ".join(half[:15])), (8, text(10) + " " + item + " " + text(5)), (9, text(9)), (10, None), (11, ""), (12, "a b"), (13, "a b"), (14, " \n ")]
+    rows += [(20 + i, text(rng.randint(1, 60)) + "\n" + text(8)) for i in range(20)]
+    spark.createDataFrame([(i, t, "en", "s", len(t or ""), i) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, sid long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(0, item), (1, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = sorted(tuple(r) for r in p.run(spark, str(tmp_path)).collect())
+    assert got == brute_pipeline(rows, [item])
+    assert {d for d, *_ in got} >= {1, 4, 5, 9, 12} and not {d for d, *_ in got} & {2, 3, 6, 7, 13}
+
+
+def test_pipeline_of_odd_rows(spark, docs, tmp_path):
+    """Nulls, repeated ids, clashing names and an empty table go through all stages, which keep the columns."""
+    import corpus_pipeline as p
+
+    for name, df in (("odd", docs.withColumn("n_removed", F.lit(1)).withColumn("score", F.lit("z")).withColumn("key", F.lit(0))), ("none", empty(docs))):
+        where = f"{tmp_path}/{name}"
+        df.write.parquet(f"{where}/documents.parquet")
+        spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{where}/labels.parquet")
+        spark.createDataFrame([], "item_id long, text string").write.parquet(f"{where}/benchmark.parquet")
+        now = df
+        for _, stage in p.STAGES[:-1]:
+            now = stage(spark, now, where)
+            assert now.columns == df.columns
+        ids = sorted(str(r.doc_id) for r in now.collect())
+        assert sorted(str(r.doc_id) for r in p.run(spark, where).collect()) == ids and ("None" in ids) == (name == "odd")
