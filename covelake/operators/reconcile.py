@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass, field
+import json
+from collections.abc import Callable, Sequence
+from dataclasses import asdict, dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
@@ -79,3 +81,41 @@ def reconcile(left: DataFrame, right: DataFrame, keys: Sequence[str], columns: S
     if out.missing or out.extra or out.left_rows != out.right_rows or any(c.mismatches for c in out.columns):
         out.status = "fail"
     return out
+
+
+@dataclass(frozen=True)
+class Spec:
+    """One dataset to reconcile: keys, columns (all common ones, if none are named) and tolerances."""
+
+    name: str
+    keys: tuple[str, ...]
+    columns: tuple[str, ...] = ()
+    tolerance: float = 0.01
+    tolerances: tuple[tuple[str, float], ...] = ()
+
+
+def reconcile_all(specs: Sequence[Spec], left: Callable[[str], DataFrame], right: Callable[[str], DataFrame], sample_size: int = 5) -> dict[str, Result]:
+    """A result for each spec; a table that can't be read, and keys that aren't unique, are errors of that spec alone."""
+    out = {}
+    for spec in specs:
+        try:
+            a, b = left(spec.name), right(spec.name)
+            columns = spec.columns or tuple(c for c in a.columns if c in b.columns and c not in spec.keys)
+            twice = [side for side, df in (("left", a), ("right", b)) if set(spec.keys) <= set(df.columns) and not df.groupBy(*spec.keys).count().where("count > 1").isEmpty()]
+            out[spec.name] = Result("error", error=f"keys repeat on the {' and '.join(twice)}") if twice else reconcile(a, b, spec.keys, columns, spec.tolerance, dict(spec.tolerances), sample_size)
+        except (LookupError, OSError, AnalysisException) as e:
+            out[spec.name] = Result("error", error=str(e).splitlines()[0][:200])
+    return out
+
+
+def report_json(results: dict[str, Result]) -> str:
+    return json.dumps({name: asdict(r) for name, r in results.items()}, ensure_ascii=False, sort_keys=True, default=str)
+
+
+def report_markdown(results: dict[str, Result]) -> str:
+    """A table of datasets, and one of columns for each that differs."""
+    lines = ["| dataset | status | left | right | missing | extra | differing columns |", "|-|-|-|-|-|-|-|"]
+    for name, r in results.items():
+        wrong = ", ".join(f"{c.name} ({c.mismatches})" for c in r.columns if c.mismatches)
+        lines.append(f"| {name} | {r.status} | {r.left_rows} | {r.right_rows} | {r.missing} | {r.extra} | {r.error or wrong} |")
+    return "\n".join(lines)

@@ -9,7 +9,7 @@ from covelake.functions import semantics as S
 from covelake.operators import history, metrics, quality, reconcile, relational
 from covelake.operators import ml as model
 from covelake.plans import domain as D
-from covelake.plans import guard
+from covelake.plans import guard, semantic
 from covelake.streaming import windows as W
 
 QUERIES: dict = {}
@@ -242,6 +242,23 @@ def metric_avg_premium(spark, d):
     return metrics.at_grain(p, ["product"], mean_premium=metrics.ratio_of_sums("premium", "one"), n_policies=F.count(F.lit(1)))
 
 
+_LOSS = """, loss AS (SELECT e.product, e.year, round(e.earned::DOUBLE, 2) AS earned, round(coalesce(c.paid, 0)::DOUBLE, 2) AS paid FROM earned e
+  LEFT JOIN (SELECT product, claim_year AS year, sum(paid) AS paid FROM enriched GROUP BY ALL) c USING (product, year)),
+monthly AS (SELECT strftime(start_date, '%Y%m') AS month, product, CASE WHEN p.client_id % 17 <> 0 THEN coalesce(segment, 'UNKNOWN') ELSE 'UNKNOWN' END AS segment,
+  count(*) AS n_policies, sum(premium)::DOUBLE AS premiums FROM policy p LEFT JOIN client USING (client_id) WHERE p.status <> 'P' GROUP BY ALL)
+"""
+
+
+@query(
+    _LOSS
+    + """SELECT product, total_paid, earned_premium, loss_ratio, policies, written_premium, mean_premium
+    FROM (SELECT product, round(sum(paid), 2) AS total_paid, round(sum(earned), 2) AS earned_premium, round(sum(paid) / nullif(sum(earned), 0), 6) AS loss_ratio FROM loss GROUP BY product)
+    FULL JOIN (SELECT product, round(sum(n_policies)::DOUBLE, 2) AS policies, round(sum(premiums), 2) AS written_premium, round(sum(premiums) / nullif(sum(n_policies), 0), 6) AS mean_premium FROM monthly GROUP BY product) USING (product)"""
+)
+def metrics_by_product(spark, d):
+    return semantic.REGISTRY.ask(spark, d, [*semantic.REGISTRY.metrics], ["product"])
+
+
 # --- history ---------------------------------------------------------------------------------------------
 
 
