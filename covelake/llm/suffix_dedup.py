@@ -29,10 +29,11 @@ whatever their names.
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from covelake.llm.common import binary_column, bucket_keys, fresh, lean, materialise, partitions_for, small_batches, text_slices
@@ -306,7 +307,8 @@ def send_groups(n: int, min_len: int, often: np.ndarray):
     return lambda batches: batches_of(rows(batches))
 
 
-def match_groups(n: int, min_len: int):
+def match_groups(n: int, min_len: int, since: int | None = None):
+    """Groups that repeat one as a whole, and edges; with ``since`` also the distinct groups of documents from there on, to be kept."""
     keys = bucket_keys(n)
 
     def rows(batches):
@@ -320,7 +322,10 @@ def match_groups(n: int, min_len: int):
         own = (doc[again], lo[again], lo[again] + size[again] + min_len - 1)
         d, a, b = merge(*(np.concatenate(c) for c in zip(parts, own, strict=True)))
         yield from rows_by_bucket(keys, doc_bucket(d, n), REMOVED, d, a, b)
-        h, doc, lo, size = (c[~again] for c in (h, doc, lo, size))
+        h, s, doc, lo, size = (c[~again] for c in (h, s, doc, lo, size))
+        if since is not None and len(doc):
+            new = np.flatnonzero(doc >= since)
+            yield int(keys[0]), GROUP, pack(h[new], s[new], doc[new], lo[new], size[new])
         same = h[1:] == h[:-1]
         edge = np.flatnonzero(np.append(same, False) | np.append(False, same)) if len(h) else np.zeros(0, np.int64)
         yield from rows_by_bucket(keys, doc_bucket(doc[edge], n), EDGE, h[edge], doc[edge], lo[edge], size[edge])
@@ -517,6 +522,108 @@ def _cleaned(base: DataFrame, min_len: int, with_text: bool) -> DataFrame:
     return texts.union(removed).repartition(n, "key").mapInArrow(lean(cut_texts(with_text)), RESULT + ", kept_text string" * with_text)
 
 
+KEPT = "h long, s long, sid long, lo long, size long"
+
+
+def _unpacked(batches):
+    """Kept groups as rows."""
+    for batch in batches:
+        for blob in batch.column(0).to_pylist():
+            cols = unpack(blob, "uuiii")
+            yield pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in cols], [f.split()[0] for f in KEPT.split(", ")])
+
+
+def _stored_groups(n: int):
+    """Kept groups, dealt by anchor like new ones."""
+    keys = bucket_keys(n)
+
+    def rows(batches):
+        for batch in batches:
+            h, s, doc, lo, size = (np.array(c.to_numpy(zero_copy_only=False), np.int64) for c in batch.columns)
+            order = np.lexsort((lo, doc))
+            h, s, doc, lo, size = (c[order] for c in (h.view(U64), s.view(U64), doc, lo, size))
+            yield from rows_by_bucket(keys, ((h >> U64(24)) % U64(n)).astype(np.int64), GROUP, h, s, doc, lo, size)
+
+    return lambda batches: batches_of(rows(batches))
+
+
+class Corpus:
+    """A corpus that grows by batches, kept as levels of geometric sizes in a shared folder.
+
+    ``add`` matches a batch against every level, and within itself, as ``suffix_dedup`` does: a byte goes if its string also
+    starts in an earlier batch, or earlier in this one. The batch then becomes a level, and levels of equal size merge. A
+    level is the distinct groups that it brought and its texts, of which only those with edges are read again. The list
+    of levels is written last, so a batch that failed leaves the corpus as it was.
+    """
+
+    SHIFT = 50  # bits of a row's key below the number of its batch
+
+    def __init__(self, spark: SparkSession, path: str, min_len: int = 100):
+        self.spark, self.path, self.min_len = spark, path.rstrip("/"), min_len
+
+    def levels(self) -> tuple[int, list[tuple[str, int]], list[int]]:
+        """(batches so far, levels as (folder, rows), common anchors of the first batch, which all batches keep)."""
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        root = hadoop.Path(self.path)
+        fs = root.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+        names = [x.getPath().getName() for x in fs.listStatus(root)] if fs.exists(root) else []
+        done = [x for x in names if x.startswith("state-") and fs.exists(hadoop.Path(f"{self.path}/{x}/_SUCCESS"))]
+        if not done:
+            return 0, [], []
+        r = self.spark.read.schema("batches int, levels array<struct<folder string, rows long>>, often array<long>").json(f"{self.path}/{max(done)}").first()
+        return r.batches, [(x.folder, x.rows) for x in r.levels], list(r.often)
+
+    def add(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+        """The rows of ``suffix_dedup`` for the batch, which is then part of the corpus."""
+        small_batches(self.spark)
+        number, levels, often = self.levels()
+        since, name = (number + 1) << self.SHIFT, f"{number + 1:06d}-{uuid.uuid4().hex[:8]}"
+        rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).orderBy("doc_id", "text")
+        rows.withColumn("sid", F.monotonically_increasing_id() + F.lit(since)).write.parquet(f"{self.path}/level-{name}/texts")
+        base = self.spark.read.parquet(f"{self.path}/level-{name}/texts")
+        n = partitions_for(base)
+        hashes = np.array(often, np.int64).view(U64) if number else common_anchors(base, self.min_len)
+        sent = base.select("sid", "text").mapInArrow(lean(send_groups(n, self.min_len, np.sort(hashes))), MOVED)
+        for folder, _ in levels:
+            sent = sent.union(self.spark.read.schema(KEPT).parquet(f"{self.path}/{folder}/groups").mapInArrow(lean(_stored_groups(n)), MOVED))
+        found = materialise(sent.repartition(n, "key").mapInArrow(lean(match_groups(n, self.min_len, since)), MOVED), "groups")
+        found.where(f"kind = {GROUP}").select("blob").mapInArrow(lean(_unpacked), KEPT).write.parquet(f"{self.path}/level-{name}/groups")
+        edges = found.where(f"kind = {EDGE}")
+        asked = edges.select("blob").mapInArrow(lean(_edge_docs(since)), "sid long").distinct()
+        texts = base.select("sid", "doc_id", "text")
+        old = [self.spark.read.parquet(f"{self.path}/{folder}/texts").join(asked, "sid", "left_semi").select("sid", "doc_id", "text") for folder, _ in levels]
+        for part in old:
+            texts = texts.union(part)
+        moved = texts.mapInArrow(lean(send_texts(n)), MOVED)
+        sent = moved.union(edges).repartition(n, "key").mapInArrow(lean(send_edges(n, self.min_len)), MOVED)
+        more = materialise(sent.repartition(n, "key").mapInArrow(lean(match_edges(n, self.min_len)), MOVED), "windows")
+        own = base.select("sid", "doc_id", "text").mapInArrow(lean(send_texts(n)), MOVED)
+        removed = found.where(f"kind = {REMOVED}").union(more)
+        out = materialise(own.union(removed).repartition(n, "key").mapInArrow(lean(cut_texts(False)), RESULT), "cut").drop("sid")
+        self._commit(number + 1, levels, (f"level-{name}", base.count()), hashes)
+        return out
+
+    def _commit(self, number: int, levels: list[tuple[str, int]], new: tuple[str, int], often: np.ndarray) -> None:
+        while levels and levels[-1][1] <= new[1]:
+            older = levels.pop()
+            folder = f"level-{number:06d}-{uuid.uuid4().hex[:8]}"
+            for part in ("groups", "texts"):
+                self.spark.read.parquet(f"{self.path}/{older[0]}/{part}").unionByName(self.spark.read.parquet(f"{self.path}/{new[0]}/{part}")).write.parquet(f"{self.path}/{folder}/{part}")
+            new = (folder, older[1] + new[1])
+        state = self.spark.createDataFrame([(number, [*levels, new], often.view(np.int64).tolist())], "batches int, levels array<struct<folder string, rows long>>, often array<long>")
+        state.coalesce(1).write.json(f"{self.path}/state-{number:06d}")
+
+
+def _edge_docs(since: int):
+    def run(batches):
+        for batch in batches:
+            for blob in batch.column(0).to_pylist():
+                doc = np.unique(unpack(blob, "uiii")[1])
+                yield pa.RecordBatch.from_arrays([pa.array(doc[doc < since])], ["sid"])
+
+    return run
+
+
 def drop_repeats(docs: DataFrame, min_len: int = 100) -> DataFrame:
     """The documents with repeated passages taken out of their texts; those left blank are dropped. Columns unchanged.
 

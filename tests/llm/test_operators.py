@@ -94,6 +94,25 @@ def test_one_anchor_in_every_document(spark, monkeypatch):
         assert sorted(map(str, map(tuple, suffix_dedup.suffix_dedup(df).collect()))) == want
 
 
+def test_corpus_of_batches(spark, docs, tmp_path):
+    """Batches give the rows of one table in their order; levels merge geometrically; a failed batch leaves nothing."""
+    rows = [(r.doc_id, r.text) for r in docs.where("doc_id is not null").collect()]
+    rows = sorted(rows, key=lambda r: (r[0], r[1] is not None, r[1] or ""))
+    parts = [rows[i : i + 8] for i in range(0, len(rows), 8)]
+    corpus, got, sizes = suffix_dedup.Corpus(spark, f"file://{tmp_path}/corpus"), [], []
+    for i, part in enumerate(parts):
+        df = spark.createDataFrame(part, "doc_id long, text string")
+        if i == 2:
+            with pytest.raises(Exception, match="nowhere"):
+                corpus.add(df, text_col="nowhere")
+        got += [tuple(r) for r in corpus.add(df).collect()]
+        sizes.append([n for _, n in corpus.levels()[1]])
+    # a repeated doc_id never crosses a batch here, so the order is that of one table
+    assert all(len({r[0] for r in a} & {r[0] for r in b}) == 0 for a, b in zip(parts, parts[1:], strict=False))
+    assert sorted(map(str, got)) == sorted(map(str, brute_repeats(rows)))
+    assert sizes[:4] == [[8], [16], [16, 8], [32]] and corpus.levels()[0] == len(parts)
+
+
 def test_drop_repeats_with_clashing_names(spark):
     names = ["n_removed", "kept_text", "sid", "_sid", "key"]
     df = spark.createDataFrame([(1, "alpha", *range(5)), (None, None, *range(5)), (2, "", *range(5))], ["doc_id", "text", *names])
