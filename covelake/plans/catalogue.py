@@ -62,7 +62,15 @@ def money(c: str):
 # --- semantics -------------------------------------------------------------------------------------------
 
 
-@query("SELECT product, e.year, round(e.earned::DOUBLE, 2) AS earned, CASE WHEN c.n IS NULL THEN 0 ELSE c.n END AS n_claims, CASE WHEN c.n IS NULL THEN 0 ELSE round(c.claimed::DOUBLE, 2) END AS claimed, CASE WHEN c.n IS NULL THEN 0 ELSE round(c.paid::DOUBLE, 2) END AS paid, round(CASE WHEN c.n IS NULL THEN 0 ELSE c.paid END::DOUBLE / nullif(e.earned::DOUBLE, 0), 6) AS ratio FROM earned e LEFT JOIN (SELECT product, claim_year AS year, count(*) AS n, sum(claimed) AS claimed, sum(paid) AS paid FROM enriched GROUP BY ALL) c USING (product, year)")
+@query(
+    """SELECT product, e.year, round(e.earned::DOUBLE, 2) AS earned, CASE WHEN c.n IS NULL THEN 0 ELSE c.n END AS n_claims,
+      CASE WHEN c.n IS NULL THEN 0 ELSE round(c.claimed::DOUBLE, 2) END AS claimed, CASE WHEN c.n IS NULL THEN 0 ELSE round(c.paid::DOUBLE, 2) END AS paid,
+      round(CASE WHEN c.n IS NULL THEN 0 ELSE c.paid END::DOUBLE / nullif(e.earned::DOUBLE, 0), 6) AS ratio
+    FROM earned e
+    LEFT JOIN (SELECT product, claim_year AS year, count(*) AS n, sum(claimed) AS claimed, sum(paid) AS paid
+    FROM enriched
+    GROUP BY ALL) c USING (product, year)"""
+)
 def loss_ratio(spark, d) -> DataFrame:
     return D.loss_ratio(spark, d)
 
@@ -78,7 +86,10 @@ def sas_missing_compare(spark, d):
     return D.clients(spark, d).select("client_id", S.missing_lt(y, 1960).cast("int").alias("low"), (y < 1960).cast("int").alias("sql_low"))
 
 
-@query("SELECT client_id, (year(DATE '2001-02-28') - year(birth) - CASE WHEN month(birth) * 100 + day(birth) > 228 THEN 1 ELSE 0 END)::BIGINT AS age FROM client")
+@query(
+    """SELECT client_id, (year(DATE '2001-02-28') - year(birth) - CASE WHEN month(birth) * 100 + day(birth) > 228 THEN 1 ELSE 0 END)::BIGINT AS age
+    FROM client"""
+)
 def completed_years(spark, d):
     return D.clients(spark, d).select("client_id", S.completed_years(F.col("birth"), F.to_date(F.lit("2001-02-28"))).cast("bigint").alias("age"))
 
@@ -86,18 +97,29 @@ def completed_years(spark, d):
 _PROP = "array_to_string(list_transform(string_split(array_to_string(list_transform(string_split(lower(trim({0})), ' '), lambda x: upper(x[1]) || x[2:]), ' '), '-'), lambda x: upper(x[1]) || x[2:]), '-')"
 
 
-@query(f"SELECT c_custkey AS client_id, {_PROP.format(chr(39) + '  jean-FRANÇOIS  ' + chr(39) + ' || upper(c_name)')} AS name, {_PROP.format('c_mktsegment')} AS segment FROM customer")
+@query(
+    f"""SELECT c_custkey AS client_id, {_PROP.format(chr(39) + '  jean-FRANÇOIS  ' + chr(39) + ' || upper(c_name)')} AS name, {_PROP.format('c_mktsegment')} AS segment
+    FROM customer"""
+)
 def propcase(spark, d):
     return D.table(spark, d, "customer").select(F.col("c_custkey").alias("client_id"), S.propcase(F.concat(F.lit("  jean-FRANÇOIS  "), F.upper("c_name"))).alias("name"), S.propcase(F.col("c_mktsegment")).alias("segment"))
 
 
-@query("SELECT p_partkey, upper(trim('  ' || p_name || ' ')) AS up, lower(p_type) AS low, nullif(trim(CASE WHEN p_partkey % 5 = 0 THEN '   ' ELSE p_brand END), '') AS brand FROM part")
+@query(
+    """SELECT p_partkey, upper(trim('  ' || p_name || ' ')) AS up, lower(p_type) AS low, nullif(trim(CASE WHEN p_partkey % 5 = 0 THEN '   ' ELSE p_brand END), '') AS brand
+    FROM part"""
+)
 def string_std(spark, d):
     blank = F.when(F.col("p_partkey") % 5 == 0, "   ").otherwise(F.col("p_brand"))
     return D.table(spark, d, "part").select("p_partkey", F.upper(F.trim(F.concat(F.lit("  "), "p_name", F.lit(" ")))).alias("up"), F.lower("p_type").alias("low"), S.blank_to_null(blank).alias("brand"))
 
 
-@query("SELECT event_id, try_cast(CASE WHEN event_id % 7 = 0 THEN '' WHEN event_id % 11 = 0 THEN 'x1' ELSE event_id::VARCHAR END AS BIGINT) AS n, try_cast(CASE WHEN event_id % 5 = 0 THEN '2024-02-31' ELSE '2024-02-0' || (event_id % 9 + 1) END AS DATE) AS day, try_cast(CASE WHEN event_id % 13 = 0 THEN 'abc' ELSE (event_id % 1000)::VARCHAR || '.25' END AS DECIMAL(12,2))::DOUBLE AS amount FROM events")
+@query(
+    """SELECT event_id, try_cast(CASE WHEN event_id % 7 = 0 THEN '' WHEN event_id % 11 = 0 THEN 'x1' ELSE event_id::VARCHAR END AS BIGINT) AS n,
+      try_cast(CASE WHEN event_id % 5 = 0 THEN '2024-02-31' ELSE '2024-02-0' || (event_id % 9 + 1) END AS DATE) AS day,
+      try_cast(CASE WHEN event_id % 13 = 0 THEN 'abc' ELSE (event_id % 1000)::VARCHAR || '.25' END AS DECIMAL(12,2))::DOUBLE AS amount
+    FROM events"""
+)
 def typed_casts(spark, d):
     e, i = D.table(spark, d, "events"), F.col("event_id")
     n = F.when(i % 7 == 0, "").when(i % 11 == 0, "x1").otherwise(i.cast("string"))
@@ -106,7 +128,11 @@ def typed_casts(spark, d):
     return e.select("event_id", n.try_cast("bigint").alias("n"), day.try_cast("date").alias("day"), amount.try_cast("decimal(12,2)").cast("double").alias("amount"))
 
 
-@query("SELECT policy_id, CASE product WHEN '1-URGENT' THEN 500 WHEN '2-HIGH' THEN 1000 ELSE 0 END AS deductible, CASE WHEN status = 'P' THEN 'N' ELSE 'Y' END AS active, regexp_replace(trim('  a   b ' || product), ' +', ' ', 'g') AS tight FROM policy")
+@query(
+    """SELECT policy_id, CASE product WHEN '1-URGENT' THEN 500 WHEN '2-HIGH' THEN 1000 ELSE 0 END AS deductible, CASE WHEN status = 'P' THEN 'N' ELSE 'Y' END AS active,
+      regexp_replace(trim('  a   b ' || product), ' +', ' ', 'g') AS tight
+    FROM policy"""
+)
 def decode_iif(spark, d):
     p = D.policies(spark, d)
     return p.select("policy_id", S.decode(F.col("product"), 0, **D.DEDUCTIBLE).alias("deductible"), F.when(F.col("status") == "P", "N").otherwise("Y").alias("active"), S.tight_trim(F.concat(F.lit("  a   b "), "product")).alias("tight"))
@@ -130,7 +156,12 @@ def batch_id_extract(spark, d):
     return D.table(spark, d, "supplier").select("s_suppkey", S.batch_number(name).alias("batch"))
 
 
-@query("SELECT strftime(g, '%Y%m%d')::BIGINT AS date_id, g::DATE AS day, year(g) AS year, quarter(g) AS quarter, month(g) AS month, ['janvier','février','mars','avril','mai','juin','juillet','août','septembre','octobre','novembre','décembre'][month(g)] AS month_name, isodow(g) AS weekday, isodow(g) IN (6, 7) AS weekend FROM range(DATE '1995-01-01', DATE '2002-01-01', INTERVAL 1 DAY) t(g)")
+@query(
+    """SELECT strftime(g, '%Y%m%d')::BIGINT AS date_id, g::DATE AS day, year(g) AS year, quarter(g) AS quarter, month(g) AS month,
+      ['janvier','février','mars','avril','mai','juin','juillet','août','septembre','octobre','novembre','décembre'][month(g)] AS month_name, isodow(g) AS weekday,
+      isodow(g) IN (6, 7) AS weekend
+    FROM range(DATE '1995-01-01', DATE '2002-01-01', INTERVAL 1 DAY) t(g)"""
+)
 def dim_date(spark, d):
     g, big = F.col("day"), lambda c: c.cast("bigint")
     return relational.days(spark, "1995-01-01", "2002-01-01").select(
@@ -138,7 +169,11 @@ def dim_date(spark, d):
     )
 
 
-@query("SELECT md5(policy_id::VARCHAR) AS policy_sk, policy_id, client_id, product, start_date, end_date, premium::DOUBLE AS premium, status, (end_date - start_date)::BIGINT AS days FROM policy")
+@query(
+    """SELECT md5(policy_id::VARCHAR) AS policy_sk, policy_id, client_id, product, start_date, end_date, premium::DOUBLE AS premium, status,
+      (end_date - start_date)::BIGINT AS days
+    FROM policy"""
+)
 def dim_policy(spark, d):
     return D.policies(spark, d).select(S.surrogate_key(F.col("policy_id")).alias("policy_sk"), "policy_id", "client_id", "product", "start_date", "end_date", F.col("premium").cast("double").alias("premium"), "status", S.days_between(F.col("start_date"), F.col("end_date")).alias("days"))
 
@@ -151,18 +186,31 @@ def dedup_latest(spark, d):
     return D.claims(spark, d).select("claim_id", "claim_date", F.col("claimed").cast("double").alias("claimed"))
 
 
-@query("SELECT claim_id, policy_id, client_id, product, segment, region, band, pay_rate, claim_year, claimed::DOUBLE AS claimed, paid::DOUBLE AS paid FROM enriched")
+@query(
+    """SELECT claim_id, policy_id, client_id, product, segment, region, band, pay_rate, claim_year, claimed::DOUBLE AS claimed, paid::DOUBLE AS paid
+    FROM enriched"""
+)
 def claims_enriched(spark, d):
     return D.enriched(spark, d).select("claim_id", "policy_id", "client_id", "product", "segment", "region", "band", "pay_rate", "claim_year", F.col("claimed").cast("double").alias("claimed"), F.col("paid").cast("double").alias("paid"))
 
 
-@query("SELECT client_id, age, CASE WHEN age IS NULL OR age < 30 THEN '<30' WHEN age < 45 THEN '30-44' WHEN age < 60 THEN '45-59' ELSE '60+' END AS band FROM (SELECT client_id, (year(DATE '2001-06-30') - year(birth) - CASE WHEN month(birth) * 100 + day(birth) > 630 THEN 1 ELSE 0 END)::BIGINT AS age FROM client)")
+@query(
+    """SELECT client_id, age, CASE WHEN age IS NULL OR age < 30 THEN '<30' WHEN age < 45 THEN '30-44' WHEN age < 60 THEN '45-59' ELSE '60+' END AS band
+    FROM (SELECT client_id, (year(DATE '2001-06-30') - year(birth) - CASE WHEN month(birth) * 100 + day(birth) > 630 THEN 1 ELSE 0 END)::BIGINT AS age
+    FROM client)"""
+)
 def customer_age_band(spark, d):
     c = D.clients(spark, d).select("client_id", S.completed_years(F.col("birth"), F.to_date(F.lit(D.P.date_ref))).cast("bigint").alias("age"))
     return c.withColumn("band", F.when(S.missing_lt(F.col("age"), 30), "<30").when(F.col("age") < 45, "30-44").when(F.col("age") < 60, "45-59").otherwise("60+"))
 
 
-@query("SELECT policy_id, coalesce(segment, 'UNKNOWN') AS segment FROM policy LEFT JOIN (SELECT * FROM client WHERE client_id % 17 <> 0) USING (client_id)")
+@query(
+    """SELECT policy_id, coalesce(segment, 'UNKNOWN') AS segment
+    FROM policy
+    LEFT JOIN (SELECT *
+    FROM client
+    WHERE client_id % 17 <> 0) USING (client_id)"""
+)
 def lookup_continue(spark, d):
     seg = D.clients(spark, d).where("client_id % 17 <> 0").select("client_id", "segment")
     return relational.lookup(D.policies(spark, d), seg, ["client_id"]).select("policy_id", F.coalesce("segment", F.lit("UNKNOWN")).alias("segment"))
@@ -192,18 +240,39 @@ def router_large(spark, d):
     return D.routed(spark, d)["large"]
 
 
-@query("SELECT strftime(start_date, '%Y%m') AS month, product, coalesce(segment, 'UNKNOWN') AS segment, count(*) AS n_policies, sum(premium)::DOUBLE AS premiums, round(sum(premium)::DOUBLE / count(*), 6) AS mean_premium FROM policy LEFT JOIN (SELECT client_id, segment FROM client WHERE client_id % 17 <> 0) USING (client_id) WHERE policy.status <> 'P' GROUP BY ALL")
+@query(
+    """SELECT strftime(start_date, '%Y%m') AS month, product, coalesce(segment, 'UNKNOWN') AS segment, count(*) AS n_policies, sum(premium)::DOUBLE AS premiums,
+      round(sum(premium)::DOUBLE / count(*), 6) AS mean_premium
+    FROM policy
+    LEFT JOIN (SELECT client_id, segment
+    FROM client
+    WHERE client_id % 17 <> 0) USING (client_id)
+    WHERE policy.status <> 'P'
+    GROUP BY ALL"""
+)
 def monthly_premiums(spark, d):
     return D.monthly_premiums(spark, d)
 
 
-@query("SELECT claim_id, count(*) AS n FROM version WHERE policy_id IN (SELECT o_orderkey FROM orders WHERE o_orderdate >= TIMESTAMP '2001-01-01') GROUP BY ALL")
+@query(
+    """SELECT claim_id, count(*) AS n
+    FROM version
+    WHERE policy_id IN (SELECT o_orderkey
+    FROM orders
+    WHERE o_orderdate >= TIMESTAMP '2001-01-01')
+    GROUP BY ALL"""
+)
 def semi_touched_keys(spark, d):
     touched = D.table(spark, d, "orders").where("o_orderdate >= timestamp_ntz'2001-01-01'").select(F.col("o_orderkey").alias("policy_id"))
     return D.claim_versions(spark, d).join(touched, "policy_id", "left_semi").groupBy("claim_id").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT c_custkey AS id, c_name AS name, c_mktsegment AS segment, NULL::DOUBLE AS balance FROM customer UNION ALL BY NAME SELECT s_suppkey AS id, s_name AS name, s_acctbal AS balance FROM supplier")
+@query(
+    """SELECT c_custkey AS id, c_name AS name, c_mktsegment AS segment, NULL::DOUBLE AS balance
+    FROM customer
+    UNION ALL BY NAME SELECT s_suppkey AS id, s_name AS name, s_acctbal AS balance
+    FROM supplier"""
+)
 def union_by_name(spark, d):
     c = D.table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"))
     return relational.union_by_name(c, D.table(spark, d, "supplier").select(F.col("s_acctbal").alias("balance"), F.col("s_name").alias("name"), F.col("s_suppkey").alias("id")))
@@ -214,24 +283,44 @@ def src_param_table(spark, d):
     return relational.inline_table(spark, [*D.P.ratio_years], "year").select(F.col("year").cast("int").alias("year"))
 
 
-@query("SELECT product, claim_id, net::DOUBLE AS net, rank() OVER (PARTITION BY product ORDER BY net DESC) AS rank FROM settled WHERE net IS NOT NULL QUALIFY rank() OVER (PARTITION BY product ORDER BY net DESC) <= 10")
+@query(
+    """SELECT product, claim_id, net::DOUBLE AS net, rank() OVER (PARTITION BY product ORDER BY net DESC) AS rank
+    FROM settled
+    WHERE net IS NOT NULL
+    QUALIFY rank() OVER (PARTITION BY product ORDER BY net DESC) <= 10"""
+)
 def topn_large_claims(spark, d):
     return relational.top_n(D.settled(spark, d).where("net is not null").select("product", "claim_id", "net"), ["product"], [F.desc("net")], 10)
 
 
-@query("SELECT product, round(sum(CASE WHEN year = 1996 THEN earned END)::DOUBLE, 2) AS earned_1996, round(sum(CASE WHEN year = 1997 THEN earned END)::DOUBLE, 2) AS earned_1997, round(sum(CASE WHEN year = 1998 THEN earned END)::DOUBLE, 2) AS earned_1998 FROM earned WHERE year BETWEEN 1996 AND 1998 GROUP BY ALL")
+@query(
+    """SELECT product, round(sum(CASE WHEN year = 1996 THEN earned END)::DOUBLE, 2) AS earned_1996, round(sum(CASE WHEN year = 1997 THEN earned END)::DOUBLE,
+      2) AS earned_1997, round(sum(CASE WHEN year = 1998 THEN earned END)::DOUBLE, 2) AS earned_1998
+    FROM earned
+    WHERE year BETWEEN 1996 AND 1998
+    GROUP BY ALL"""
+)
 def report_ratio(spark, d):
     e = D.earned(spark, d).where(F.col("year").between(1996, 1998))
     return e.groupBy("product").pivot("year", [*D.P.ratio_years]).agg(F.round(F.sum("earned").cast("double"), 2)).select("product", *[F.col(str(y)).alias(f"earned_{y}") for y in D.P.ratio_years])
 
 
-@query("SELECT product, substring(strftime(start_date, '%Y%m'), 1, 4) AS year, sum(premium)::DOUBLE AS premiums, round(avg(premium::DOUBLE), 2) AS mean_premium FROM policy WHERE substring(strftime(start_date, '%Y%m'), 1, 4) = '1997' GROUP BY ALL")
+@query(
+    """SELECT product, substring(strftime(start_date, '%Y%m'), 1, 4) AS year, sum(premium)::DOUBLE AS premiums, round(avg(premium::DOUBLE), 2) AS mean_premium
+    FROM policy
+    WHERE substring(strftime(start_date, '%Y%m'), 1, 4) = '1997'
+    GROUP BY ALL"""
+)
 def report_premiums(spark, d):
     p = D.policies(spark, d).withColumn("year", F.substring(S.year_month(F.col("start_date")), 1, 4)).where(F.col("year") == F.lit("1997"))
     return p.groupBy("product", "year").agg(F.sum("premium").cast("double").alias("premiums"), F.round(F.sum("premium").cast("double") / F.count(F.lit(1)), 2).alias("mean_premium"))
 
 
-@query("SELECT region, claim_year, round(sum(paid)::DOUBLE / nullif(sum(claimed)::DOUBLE, 0), 6) AS ratio, round(sum(paid)::DOUBLE, 2) AS paid FROM enriched GROUP BY ALL")
+@query(
+    """SELECT region, claim_year, round(sum(paid)::DOUBLE / nullif(sum(claimed)::DOUBLE, 0), 6) AS ratio, round(sum(paid)::DOUBLE, 2) AS paid
+    FROM enriched
+    GROUP BY ALL"""
+)
 def metric_loss_ratio(spark, d):
     return metrics.at_grain(D.enriched(spark, d), ["region", "claim_year"], ratio=metrics.ratio_of_sums("paid", "claimed"), paid=metrics.total("paid"))
 
@@ -272,7 +361,12 @@ def scd2_current(spark, d):
     return history.scd2(D.client_versions(spark, d), "client_id", "updated").where("is_current").select("client_id", "version_no", "status")
 
 
-@query("SELECT claim_id, client_id, version_no, s.status AS status_then FROM enriched LEFT JOIN scd s USING (client_id) WHERE version_no IS NULL OR (claim_date >= valid_from AND claim_date < valid_to)")
+@query(
+    """SELECT claim_id, client_id, version_no, s.status AS status_then
+    FROM enriched
+    LEFT JOIN scd s USING (client_id)
+    WHERE version_no IS NULL OR (claim_date >= valid_from AND claim_date < valid_to)"""
+)
 def pit_join(spark, d):
     facts = D.enriched(spark, d).select("claim_id", "client_id", "claim_date")
     dim = history.scd2(D.client_versions(spark, d), "client_id", "updated").select("client_id", "version_no", F.col("status").alias("status_then"), "valid_from", "valid_to")
@@ -293,7 +387,26 @@ def incr_high_water(spark, d):
     return history.above_high_water(D.claim_versions(spark, d), _target(spark, d), "claim_date").select("claim_id", "claim_date", F.col("claimed").cast("double").alias("claimed"))
 
 
-@query(f", {_TARGET}, new AS (SELECT claim_id, claim_date, p, s, claimed FROM version WHERE p % 3 = 0), winner AS (SELECT * FROM (SELECT * FROM target WHERE claim_id IN (SELECT claim_id FROM new) UNION ALL SELECT * FROM new) QUALIFY row_number() OVER (PARTITION BY claim_id ORDER BY claim_date DESC, p DESC, s DESC, claimed DESC) = 1) SELECT claim_id, claim_date, p, claimed::DOUBLE AS claimed FROM (SELECT * FROM target WHERE claim_id NOT IN (SELECT claim_id FROM new) UNION ALL SELECT * FROM winner)")
+@query(
+    f""", {_TARGET}, new AS (SELECT claim_id, claim_date, p, s, claimed
+    FROM version
+    WHERE p % 3 = 0),
+    winner AS (SELECT *
+    FROM (SELECT *
+    FROM target
+    WHERE claim_id IN (SELECT claim_id
+    FROM new)
+    UNION ALL SELECT *
+    FROM new)
+    QUALIFY row_number() OVER (PARTITION BY claim_id ORDER BY claim_date DESC, p DESC, s DESC, claimed DESC) = 1) SELECT claim_id, claim_date, p,
+      claimed::DOUBLE AS claimed
+    FROM (SELECT *
+    FROM target
+    WHERE claim_id NOT IN (SELECT claim_id
+    FROM new)
+    UNION ALL SELECT *
+    FROM winner)"""
+)
 def incr_merge(spark, d):
     new = D.claim_versions(spark, d).where("p % 3 = 0").select("claim_id", "claim_date", "p", "s", "claimed")
     return history.merge_latest(_target(spark, d), new, ["claim_id"], _ORDER()).select("claim_id", "claim_date", "p", F.col("claimed").cast("double").alias("claimed"))
@@ -302,28 +415,64 @@ def incr_merge(spark, d):
 # --- analytics -------------------------------------------------------------------------------------------
 
 
-@query("SELECT claim_id, client_id, n_so_far, claimed_so_far, gap_days, flag_gap::BIGINT AS flag_gap, flag_new::BIGINT AS flag_new, flag_delay::BIGINT AS flag_delay, (40 * flag_gap + 35 * flag_new + 25 * flag_delay)::BIGINT AS score FROM fraud")
+@query(
+    """SELECT claim_id, client_id, n_so_far, claimed_so_far, gap_days, flag_gap::BIGINT AS flag_gap, flag_new::BIGINT AS flag_new, flag_delay::BIGINT AS flag_delay,
+      (40 * flag_gap + 35 * flag_new + 25 * flag_delay)::BIGINT AS score
+    FROM fraud"""
+)
 def fraud_indicators(spark, d):
     return D.fraud_indicators(spark, d)
 
 
-@query("SELECT f.claim_id, f.product, f.kind, f.segment, f.claimed::DOUBLE AS claimed, round(f.claimed::DOUBLE / nullif(f.premium::DOUBLE, 0), 6) AS claim_to_premium, n_so_far - 1 AS earlier, gap_days, (month(f.claim_date) IN (1, 7, 12))::INT AS peak_month, (k.birth IS NOT NULL)::INT AS has_birth, (f.pay_rate IS NOT NULL)::INT AS has_rate, CASE WHEN f.kind = 'R' THEN 1 WHEN f.kind = 'A' THEN 0 END AS label FROM fraud f LEFT JOIN client k USING (client_id)")
+@query(
+    """SELECT f.claim_id, f.product, f.kind, f.segment, f.claimed::DOUBLE AS claimed, round(f.claimed::DOUBLE / nullif(f.premium::DOUBLE, 0), 6) AS claim_to_premium,
+      n_so_far - 1 AS earlier, gap_days, (month(f.claim_date) IN (1, 7, 12))::INT AS peak_month, (k.birth IS NOT NULL)::INT AS has_birth,
+      (f.pay_rate IS NOT NULL)::INT AS has_rate, CASE WHEN f.kind = 'R' THEN 1 WHEN f.kind = 'A' THEN 0 END AS label
+    FROM fraud f
+    LEFT JOIN client k USING (client_id)"""
+)
 def fraud_features(spark, d):
     return model.features(spark, d)
 
 
-@query(", scored AS (SELECT claim_id, (40 * flag_gap + 35 * flag_new + 25 * flag_delay)::BIGINT AS score FROM fraud), ranked AS (SELECT *, row_number() OVER (ORDER BY score DESC, claim_id) AS rank FROM scored) SELECT claim_id, score, rank, rank <= floor((SELECT count(*) FROM scored) * 0.1) AS review FROM ranked")
+@query(
+    """, scored AS (SELECT claim_id, (40 * flag_gap + 35 * flag_new + 25 * flag_delay)::BIGINT AS score
+    FROM fraud),
+    ranked AS (SELECT *, row_number() OVER (ORDER BY score DESC, claim_id) AS rank
+    FROM scored) SELECT claim_id, score, rank, rank <= floor((SELECT count(*)
+    FROM scored) * 0.1) AS review
+    FROM ranked"""
+)
 def score_rank(spark, d):
     return model.rank_scores(D.fraud_indicators(spark, d).select("claim_id", "score"), "score", "claim_id", 0.1)
 
 
-@query(", scored AS (SELECT claim_id, (40 * flag_gap + 35 * flag_new + 25 * flag_delay)::BIGINT AS score, CASE WHEN kind = 'R' THEN 1 ELSE 0 END AS y FROM fraud), top AS (SELECT *, row_number() OVER (ORDER BY score DESC, claim_id) AS rank FROM scored) SELECT round(sum(y)::DOUBLE / count(*), 6) AS precision_at_k, count(*) AS k FROM top WHERE rank <= greatest(1, round((SELECT count(*) FROM scored) * 0.1))")
+@query(
+    """, scored AS (SELECT claim_id, (40 * flag_gap + 35 * flag_new + 25 * flag_delay)::BIGINT AS score, CASE WHEN kind = 'R' THEN 1 ELSE 0 END AS y
+    FROM fraud),
+    top AS (SELECT *, row_number() OVER (ORDER BY score DESC, claim_id) AS rank
+    FROM scored) SELECT round(sum(y)::DOUBLE / count(*), 6) AS precision_at_k, count(*) AS k
+    FROM top
+    WHERE rank <= greatest(1, round((SELECT count(*)
+    FROM scored) * 0.1))"""
+)
 def precision_at_k(spark, d):
     s = D.fraud_indicators(spark, d).select("claim_id", "score").join(D.claims(spark, d).select("claim_id", F.when(F.col("kind") == "R", 1).otherwise(0).alias("y")), "claim_id")
     return model.precision_at(s, "y", "score", "claim_id", 0.1)
 
 
-@query(", scored AS (SELECT CASE WHEN kind = 'R' THEN 1 ELSE 0 END AS y, (40 * flag_gap + 35 * flag_new + 25 * flag_delay)::BIGINT AS score FROM fraud), t AS (SELECT score, sum(y)::BIGINT AS p, count(*) - sum(y)::BIGINT AS n FROM scored GROUP BY score), c AS (SELECT *, coalesce(sum(n) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below, sum(p) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS tp, sum(p + n) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS taken FROM t) SELECT round(sum(p * (2 * below + n))::DOUBLE / (2 * sum(p) * sum(n))::DOUBLE, 6) AS roc_auc, round(sum(p::DOUBLE * tp / taken) / sum(p)::DOUBLE, 6) AS average_precision FROM c")
+@query(
+    """, scored AS (SELECT CASE WHEN kind = 'R' THEN 1 ELSE 0 END AS y, (40 * flag_gap + 35 * flag_new + 25 * flag_delay)::BIGINT AS score
+    FROM fraud),
+    t AS (SELECT score, sum(y)::BIGINT AS p, count(*) - sum(y)::BIGINT AS n
+    FROM scored
+    GROUP BY score),
+    c AS (SELECT *, coalesce(sum(n) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below,
+      sum(p) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS tp, sum(p + n) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS taken
+    FROM t) SELECT round(sum(p * (2 * below + n))::DOUBLE / (2 * sum(p) * sum(n))::DOUBLE, 6) AS roc_auc, round(sum(p::DOUBLE * tp / taken) / sum(p)::DOUBLE,
+      6) AS average_precision
+    FROM c"""
+)
 def ranking_quality(spark, d):
     s = D.fraud_indicators(spark, d).select("claim_id", "score").join(D.claims(spark, d).select("claim_id", F.when(F.col("kind") == "R", 1).otherwise(0).alias("y")), "claim_id")
     return model.ranking_quality(s, "y", "score")
@@ -363,7 +512,11 @@ def window_refresh(spark, d):
     return W.refresh(W.by_window(rows.where("event_id >= 0")), rows, rows.where("event_id < 0")).withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm"))
 
 
-@query("SELECT strftime(window_start, '%Y-%m-%d %H:%M') AS window_start, province, n_declared, 1 AS threshold FROM win WHERE n_declared >= 1 AND province <> 0")
+@query(
+    """SELECT strftime(window_start, '%Y-%m-%d %H:%M') AS window_start, province, n_declared, 1 AS threshold
+    FROM win
+    WHERE n_declared >= 1 AND province <> 0"""
+)
 def alerts_once(spark, d):
     win = W.by_window(W.first_by_id(W.sample_stream(spark, d)))
     before = W.alerts(win.where("province = 0"), 1)
@@ -387,7 +540,10 @@ def _pair(spark, d):
     return left, right
 
 
-@query(_PAIR + "SELECT count(lid) AS left_rows, count(rid) AS right_rows, count(*) FILTER (rid IS NULL) AS missing, count(*) FILTER (lid IS NULL) AS extra FROM j")
+@query(
+    _PAIR + """SELECT count(lid) AS left_rows, count(rid) AS right_rows, count(*) FILTER (rid IS NULL) AS missing, count(*) FILTER (lid IS NULL) AS extra
+    FROM j"""
+)
 def reconcile_counts(spark, d):
     return reconcile.summary(*_pair(spark, d), ["id"], []).select("left_rows", "right_rows", "missing", "extra")
 
@@ -435,7 +591,21 @@ def dq_value_between(spark, d):
     return quality.value_between(D.table(spark, d, "lineitem"), "l_quantity", 3, 48).select("l_orderkey", "l_linenumber", "l_quantity")
 
 
-@query(", bad AS (SELECT client_id, valid_from, CASE WHEN client_id % 10 = 1 AND is_current THEN valid_from WHEN client_id % 10 = 2 AND version_no = 1 THEN valid_to - 1 ELSE valid_to END AS valid_to, is_current AND client_id % 10 <> 3 AS is_current FROM scd), x AS (SELECT *, lead(valid_from) OVER (PARTITION BY client_id ORDER BY valid_from) AS nxt FROM bad) SELECT client_id, 'reversed' AS anomaly FROM x WHERE valid_to <= valid_from UNION ALL SELECT client_id, 'gap or overlap' FROM x WHERE nxt <> valid_to UNION ALL SELECT client_id, 'current rows' FROM bad GROUP BY client_id HAVING sum(is_current::INT) <> 1")
+@query(
+    """, bad AS (SELECT client_id, valid_from, CASE WHEN client_id % 10 = 1 AND is_current THEN valid_from WHEN client_id % 10 = 2 AND version_no = 1 THEN valid_to - 1 ELSE valid_to END AS valid_to, is_current AND client_id % 10 <> 3 AS is_current
+    FROM scd),
+    x AS (SELECT *, lead(valid_from) OVER (PARTITION BY client_id ORDER BY valid_from) AS nxt
+    FROM bad) SELECT client_id, 'reversed' AS anomaly
+    FROM x
+    WHERE valid_to <= valid_from
+    UNION ALL SELECT client_id, 'gap or overlap'
+    FROM x
+    WHERE nxt <> valid_to
+    UNION ALL SELECT client_id, 'current rows'
+    FROM bad
+    GROUP BY client_id
+    HAVING sum(is_current::INT) <> 1"""
+)
 def dq_scd2(spark, d):
     v, k = history.scd2(D.client_versions(spark, d), "client_id", "updated"), F.col("client_id") % 10
     bad = v.select("client_id", "valid_from", F.when((k == 1) & F.col("is_current"), F.col("valid_from")).when((k == 2) & (F.col("version_no") == 1), F.date_sub("valid_to", 1)).otherwise(F.col("valid_to")).alias("valid_to"), (F.col("is_current") & (k != 3)).alias("is_current"))
@@ -447,13 +617,22 @@ def dq_no_stale_version(spark, d):
     return quality.stale_versions(D.claim_versions(spark, d), _target(spark, d), "claim_id", "claim_date").select("claim_id", "claim_date")
 
 
-@query("SELECT (SELECT coalesce(sum(paid), 0)::DOUBLE FROM claim) AS left_sum, (SELECT coalesce(sum(paid), 0)::DOUBLE FROM claim WHERE kind <> 'R') AS right_sum")
+@query(
+    """SELECT (SELECT coalesce(sum(paid), 0)::DOUBLE
+    FROM claim) AS left_sum, (SELECT coalesce(sum(paid), 0)::DOUBLE
+    FROM claim
+    WHERE kind <> 'R') AS right_sum"""
+)
 def dq_amount_conservation(spark, d):
     c = D.claims(spark, d)
     return quality.conserved(c, c.where("kind <> 'R'"), "paid")
 
 
-@query("SELECT claim_id, CASE WHEN net >= 50000 THEN 2 ELSE 1 END - CASE WHEN product = '5-LOW' THEN 1 ELSE 0 END AS n FROM settled WHERE (CASE WHEN net >= 50000 THEN 2 ELSE 1 END - CASE WHEN product = '5-LOW' THEN 1 ELSE 0 END) <> 1")
+@query(
+    """SELECT claim_id, CASE WHEN net >= 50000 THEN 2 ELSE 1 END - CASE WHEN product = '5-LOW' THEN 1 ELSE 0 END AS n
+    FROM settled
+    WHERE (CASE WHEN net >= 50000 THEN 2 ELSE 1 END - CASE WHEN product = '5-LOW' THEN 1 ELSE 0 END) <> 1"""
+)
 def dq_router_partition(spark, d):
     whole, parts = D.settled(spark, d), D.routed(spark, d)
     both = parts["default"].unionAll(parts["large"]).where("product <> '5-LOW'")
