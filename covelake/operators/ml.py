@@ -16,7 +16,8 @@ def features(spark, d) -> DataFrame:
     """One row a claim; the label is null where no verdict exists."""
     from covelake.plans import domain as D
 
-    e, f = D.enriched(spark, d), D.fraud_indicators(spark, d).select("claim_id", "n_so_far", "gap_days")
+    e = written(D.enriched(spark, d))  # used twice
+    f = D.fraud_indicators(spark, d, e).select("claim_id", "n_so_far", "gap_days")
     k = D.clients(spark, d).select("client_id", "birth")
     flag = lambda c: c.cast("int")
     return (

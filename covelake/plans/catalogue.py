@@ -10,6 +10,7 @@ from covelake.operators import history, metrics, quality, reconcile, relational
 from covelake.operators import ml as model
 from covelake.plans import domain as D
 from covelake.plans import guard, semantic
+from covelake.sources.work import written
 from covelake.streaming import windows as W
 
 QUERIES: dict = {}
@@ -634,7 +635,8 @@ def dq_amount_conservation(spark, d):
     WHERE (CASE WHEN net >= 50000 THEN 2 ELSE 1 END - CASE WHEN product = '5-LOW' THEN 1 ELSE 0 END) <> 1"""
 )
 def dq_router_partition(spark, d):
-    whole, parts = D.settled(spark, d), D.routed(spark, d)
+    whole = written(D.settled(spark, d))  # used four times
+    parts = D.routed(spark, d, of=whole)
     both = parts["default"].unionAll(parts["large"]).where("product <> '5-LOW'")
     return quality.not_once(whole, "claim_id", both, parts["large"])
 

@@ -94,9 +94,9 @@ def loss_ratio(spark, d, params: Params = P) -> DataFrame:
     return both.select("product", "year", dbl("earned").alias("earned"), F.col("n_claims").cast("bigint").alias("n_claims"), dbl("claimed").alias("claimed"), dbl("paid").alias("paid"), F.round(S.safe_div(F.col("paid").cast("double"), F.col("earned").cast("double")), 6).alias("ratio"))
 
 
-def fraud_indicators(spark, d) -> DataFrame:
-    """Running counts, sums and gaps of each client's claims, flags and score."""
-    e = enriched(spark, d).withColumn("delay", S.days_between(F.col("claim_date"), F.col("report_date"))).withColumn("since_start", S.days_between(F.col("start_date"), F.col("claim_date")))
+def fraud_indicators(spark, d, of: DataFrame | None = None) -> DataFrame:
+    """Running counts, sums and gaps of each client's claims, flags and score; ``of``: enriched claims, if they are at hand."""
+    e = (enriched(spark, d) if of is None else of).withColumn("delay", S.days_between(F.col("claim_date"), F.col("report_date"))).withColumn("since_start", S.days_between(F.col("start_date"), F.col("claim_date")))
     order = [F.asc_nulls_last("claim_date"), F.asc("claim_id")]
     run = relational.running(e, ["client_id"], order)
     gap = F.datediff("claim_date", F.lag("claim_date").over(Window.partitionBy("client_id").orderBy(*order))).cast("bigint")
@@ -114,8 +114,9 @@ def settled(spark, d) -> DataFrame:
     return e.select("claim_id", "product", S.year_month(F.col("claim_date")).alias("month"), F.col("paid").cast("double").alias("paid"), ded.cast("double").alias("deductible"), net.cast("double").alias("net"), F.round(S.safe_div(net.cast("double"), F.col("premium").cast("double")), 6).alias("premium_ratio"))
 
 
-def routed(spark, d, params: Params = P) -> dict[str, DataFrame]:
-    return relational.route(settled(spark, d), {"large": F.col("net") >= params.large_claim})
+def routed(spark, d, params: Params = P, of: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Settled claims by route; ``of``: settled claims, if they are at hand."""
+    return relational.route(settled(spark, d) if of is None else of, {"large": F.col("net") >= params.large_claim})
 
 
 def monthly_premiums(spark, d) -> DataFrame:
