@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import ctypes
 import math
-import tempfile
 import uuid
 
 import numpy as np
@@ -16,27 +15,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from covelake.sources.work import folder as work_dir
+
 #: Bytes of (compressed) input that one task of a text shuffle should hold.
 BYTES_PER_PARTITION = 10 << 20
 
 
-#: Folders made for sessions without a checkpoint folder, by application.
-_own_dirs: dict[str, str] = {}
-
-
-def work_dir(spark: SparkSession) -> str:
-    """The session's shared checkpoint folder. Without one, a session whose executors all run on this machine gets a fresh folder."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if base:
-        return base.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _own_dirs:
-        _own_dirs[app] = "file://" + tempfile.mkdtemp(prefix="covelake-")
-    return _own_dirs[app]
-
-
 def fresh(df: DataFrame, name: str) -> str:
     """A column name like ``name`` that ``df`` doesn't have."""
     taken = {c.lower() for c in df.columns}
