@@ -26,7 +26,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, that with the smallest doc_id: SimHash candidates, verified at a similarity of 0.8."""
+    """One document of each group stays, that with the smallest doc_id: SimHash links and an exact way for the rest, verified at a similarity of 0.8."""
     return near_dedup(docs, 0.8)
 
 

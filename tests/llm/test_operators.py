@@ -782,3 +782,35 @@ def test_pipeline_of_odd_rows(spark, docs, tmp_path):
             assert now.columns == df.columns
         ids = sorted(str(r.doc_id) for r in now.collect())
         assert sorted(str(r.doc_id) for r in p.run(spark, where).collect()) == ids and ("None" in ids) == (name == "odd")
+
+
+def test_near_groups_come_through_the_operators_links(spark, monkeypatch):
+    """What meets first are texts of equal fingerprints and those that op6 links; later only members of different groups meet."""
+    rng = random.Random(3)
+    rows = []
+    for _ in range(30):
+        base = [rng.choice(WORDS) for _ in range(400)]
+        for n in (0, 1, 1, 2, 8):
+            text = list(base)
+            for i in rng.sample(range(400), n):
+                text[i] = f"new{rng.random()}"
+            rows.append((len(rows), " ".join(text)))
+    met, scored = [], simhash_dedup._scored
+
+    def spy(found, classes, least):
+        met.append({(r.a, r.b) for r in found.select("a", "b").collect()})
+        return scored(found, classes, least)
+
+    monkeypatch.setattr(simhash_dedup, "_scored", spy)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r.doc_id for r in simhash_dedup.near_dedup(df).collect()}
+    fp = {i: simhash_dedup.fingerprint(t.encode()) for i, t in rows}
+    first = {}
+    for i, _ in rows:
+        first.setdefault(fp[i], i)
+    firsts = sorted(first.values())
+    want = {(a, b) for a in firsts for b in firsts if a < b and (fp[a] ^ fp[b]).bit_count() <= 2} | {(first[fp[i]], i) for i, _ in rows if first[fp[i]] != i}
+    assert want and met[0] == want
+    grouped = brute_components([i for i, _ in rows], want)  # all of these pairs are near copies
+    assert met[1] and all(grouped[a] != grouped[b] for a, b in met[1])
+    assert kept == {i for i, _ in rows if i % 5 == 0}
