@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from covelake.llm import kernels
 from covelake.sources.work import folder as work_dir
 
 #: Bytes of (compressed) input that one task of a text shuffle should hold.
@@ -85,7 +86,7 @@ kept_caches: dict = {}
 def lean(run, keeps: str | None = None):
     """``run`` over batches in a worker that serves many stages.
 
-    Caches of other operators than ``keeps`` are emptied first, and freed memory is given back at the end of the task.
+    Caches of other operators than ``keeps`` are emptied first. Tables of powers go at the end of the task, and freed memory is given back.
     """
 
     def own(batches):
@@ -94,6 +95,7 @@ def lean(run, keeps: str | None = None):
         try:
             yield from run(batches)
         finally:
+            kernels.forget()
             pa.default_memory_pool().release_unused()
             trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
             if trim:

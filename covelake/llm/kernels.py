@@ -61,6 +61,11 @@ def powers(seed: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     return have
 
 
+def forget() -> None:
+    """Free the tables of powers."""
+    _powers.clear()
+
+
 class Prefix:
     """Polynomial hash of any byte range of ``data`` (uint8) from one prefix sum, all arithmetic modulo 2**64."""
 

@@ -23,6 +23,8 @@ from covelake.llm.common import binary_column, components, lean, materialise, sm
 from covelake.llm.kernels import BLANK, LOWER, Prefix, mix, spans
 
 PART = 1 << 16
+#: Bytes of texts whose shingles are made at once.
+SLICE = 1 << 18
 
 
 def fingerprint(text: bytes, shingle: int = 3) -> int:
@@ -182,7 +184,7 @@ def _often(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     def run(batches):
         for batch in batches:
             data, off = binary_column(batch, "text")
-            for i, j in text_slices(off):
+            for i, j in text_slices(off, SLICE):
                 h, _ = _shingles(data[off[i] : off[j]], off[i : j + 1] - off[i])
                 h, k = np.unique(h, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(k)], ["h", "k"])
@@ -234,7 +236,7 @@ def _sketched(docs: DataFrame, least: float) -> DataFrame:
         for batch in batches:
             data, off = binary_column(batch, "text")
             sketched, fps, keys, heads, sizes = [], [], [], [], []
-            for i, j in text_slices(off):
+            for i, j in text_slices(off, SLICE):
                 part, within = data[off[i] : off[j]], off[i : j + 1] - off[i]
                 h, own = _shingles(part, within)
                 sketched += sketches(h, own, j - i)

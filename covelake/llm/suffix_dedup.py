@@ -41,9 +41,9 @@ from covelake.llm.kernels import Prefix, mix, sliding_min
 
 U64 = np.uint64
 ANCHOR = 32
-PIECE = 1 << 19
+PIECE = 1 << 18
 #: Groups that a task gathers before it reduces and sends them; bytes of edges that it gathers before it sends them.
-FLUSH, EDGE_FLUSH = 400_000, 8 << 20
+FLUSH, EDGE_FLUSH = 200_000, 8 << 20
 #: Documents of the sample in which anchors are counted, contents from which on an anchor counts as often met, and how many of those are kept.
 SAMPLE, OFTEN, OFTEN_KEPT = 4000, 16, 100_000
 MOVED = "key int, kind int, blob binary"

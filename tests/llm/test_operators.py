@@ -784,6 +784,24 @@ def test_pipeline_of_odd_rows(spark, docs, tmp_path):
         assert sorted(str(r.doc_id) for r in p.run(spark, where).collect()) == ids and ("None" in ids) == (name == "odd")
 
 
+def test_tasks_of_repeats_hold_little():
+    """What a task that sends groups holds at its peak, and what its worker keeps."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from covelake.llm import common, kernels
+
+    rng = np.random.default_rng(6)
+    texts = [rng.integers(97, 123, 2000, dtype=np.uint8).tobytes().decode() for _ in range(8000)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(i, i + 1000), pa.int64()), pa.array(texts[i : i + 1000])], ["sid", "text"]) for i in range(0, 8000, 1000)]
+    tracemalloc.start()
+    n = sum(len(b) for b in common.lean(suffix_dedup.send_groups(8, 100, np.zeros(0, np.uint64)))(iter(batches)))
+    peak = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    assert n and peak < 65 and not kernels._powers
+
+
 def test_near_groups_come_through_the_operators_links(spark, monkeypatch):
     """What meets first are texts of equal fingerprints and those that op6 links; later only members of different groups meet."""
     rng = random.Random(3)
