@@ -267,6 +267,48 @@ def test_near_groups_find_repeated_lines_and_inserted_blocks(spark, monkeypatch)
     assert groups() == want
 
 
+def test_near_groups_of_many_copies_meet_few_pairs(spark, monkeypatch):
+    """Pairs that are judged grow with a group of copies, not with its square; groups are still those of all pairs.
+
+    The first group has central texts, which others are near to; in the second all copies differ too much from each other.
+    """
+    rng = random.Random(5)
+    rows = []
+    for edits, n in (((0, 1, 2, 3, 3, 4, 5), 420), ((2,), 120)):
+        base = [f"{rng.choice(WORDS)}{rng.random()}" for _ in range(150)]
+        for i in range(n):
+            text = list(base)
+            for k in rng.sample(range(150), edits[i % len(edits)]):
+                text[k] = f"new{rng.random()}"
+            rows.append((len(rows), " ".join(text)))
+    met, scored = [], simhash_dedup._scored
+
+    def spy(found, classes, least):
+        met.append(found.count())
+        return scored(found, classes, least)
+
+    monkeypatch.setattr(simhash_dedup, "_scored", spy)
+    got = {r.doc_id: r.component_id for r in simhash_dedup.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.split() for _, t in rows)]
+    near = [(i, j) for i in range(len(sets)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    assert len(near) > 20 * len(rows) and got == brute_components(range(len(rows)), near)
+    assert sum(met) < 6 * len(rows)
+
+
+def test_parities_reject_only_what_differs():
+    """No more bits differ than shingles, whatever the sizes; sets far below the threshold differ in more bits than it allows."""
+    rng = np.random.default_rng(6)
+    for n, k in [(0, 0), (1, 1), (146, 5), (146, 15), (146, 30), (146, 60), (3000, 100), (3000, 3000)]:
+        a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        b = np.unique(np.concatenate([a[k:], rng.integers(0, 1 << 63, k // 2, dtype=np.uint64)]))
+        odd = simhash_dedup.parities(np.concatenate([a, b]), np.repeat([0, 1], [len(a), len(b)]), 2)
+        assert odd.shape == (2, simhash_dedup.PARITY)
+        bits, apart = int(np.unpackbits((odd[0] ^ odd[1]).view(np.uint8)).sum()), len(np.setxor1d(a, b))
+        assert bits <= apart and (bits - apart) % 2 == 0
+        if (n, k) == (146, 60):
+            assert bits > (len(a) + len(b)) / 9
+
+
 def test_bpe_is_the_public_library(docs):
     from tokenizers import Tokenizer
 
